@@ -32,20 +32,15 @@ def roots(selector: Selector) -> set[str]:
     return {name for name, _ in entries(selector)}
 
 
-def project(df: DataFrame, selector: Selector) -> DataFrame:
-    """Keep only the selected fields, at any depth and through lists.
-
-    Written as struct rebuilding, so that Catalyst narrows the scan to the selected leaves.
-    """
-    return df.select(*_columns(df.schema, selector, lambda name: F.col(f"`{name}`"), ""))
-
-
-def narrow_schema(schema: T.StructType, selector: Selector) -> T.StructType:
-    """The schema that :func:`project` leaves of ``schema``."""
+def narrow_schema(schema: T.StructType, selector: Selector, path: str = "") -> T.StructType:
+    """The part of ``schema`` that the selector keeps, at any depth and through lists."""
     kept = []
     for name, kids in entries(selector):
-        field = _field(schema, name, "")
-        kept.append(T.StructField(name, field.dataType if kids is None else _narrow_type(field.dataType, kids, name), True))
+        where = path + name
+        if name not in schema.fieldNames():
+            raise ReadError(f"selected field {where!r} is not in the data", column=where)
+        dtype = schema[name].dataType
+        kept.append(T.StructField(name, dtype if kids is None else _narrow_type(dtype, kids, where), True))
     return T.StructType(kept)
 
 
@@ -53,30 +48,29 @@ def _narrow_type(dtype: T.DataType, kids: Selector, path: str) -> T.DataType:
     if isinstance(dtype, T.ArrayType):
         return T.ArrayType(_narrow_type(dtype.elementType, kids, path), True)
     if isinstance(dtype, T.StructType):
-        return narrow_schema(dtype, kids)
+        return narrow_schema(dtype, kids, f"{path}.")
     raise ReadError(f"field {path!r} has no nested fields to select", column=path)
 
 
-def _columns(schema: T.StructType, selector: Selector, get: Any, path: str) -> list[Column]:
-    out = []
-    for name, kids in entries(selector):
-        where = f"{path}{name}"
-        dtype = _field(schema, name, path).dataType
-        column = get(name) if kids is None else _nested(get(name), dtype, kids, where)
-        out.append(column.alias(name))
-    return out
-
-
-def _nested(column: Column, dtype: T.DataType, kids: Selector, path: str) -> Column:
-    if isinstance(dtype, T.ArrayType):
-        return F.transform(column, lambda element: _nested(element, dtype.elementType, kids, path))
-    if isinstance(dtype, T.StructType):
-        rebuilt = F.struct(*_columns(dtype, kids, column.getField, f"{path}."))
-        return F.when(column.isNotNull(), rebuilt)
-    raise ReadError(f"field {path!r} has no nested fields to select", column=path)
-
-
-def _field(schema: T.StructType, name: str, path: str) -> T.StructField:
-    if name not in schema.fieldNames():
-        raise ReadError(f"selected field {path + name!r} is not in the data", column=path + name)
-    return schema[name]
+def project(df: DataFrame, selector: Selector) -> DataFrame:
+    """Keep only the selected fields, at any depth and through lists; null objects stay null."""
+    wanted = narrow_schema(df.schema, selector)
+    return df.select(*[conform(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType).alias(f.name) for f in wanted.fields])
+
+
+def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Rebuild a value of type ``have`` with only the fields of ``want``."""
+    if have == want:
+        return column
+    if isinstance(have, T.ArrayType):
+        return F.transform(column, lambda element: conform(element, have.elementType, want.elementType))
+    if isinstance(have, T.StructType):
+        kept = [conform(column.getField(f.name), have[f.name].dataType, f.dataType).alias(f.name) for f in want.fields]
+        return F.when(column.isNotNull(), F.struct(*kept))
+    return column
+
+
+def field_type(schema: T.StructType, path: Sequence[str]) -> T.DataType:
+    """Type of the field at a path through nested objects."""
+    dtype = schema[path[0]].dataType
+    return dtype if len(path) == 1 else field_type(dtype, path[1:])

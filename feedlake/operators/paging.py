@@ -8,13 +8,15 @@ from a window over whole pages, so a scope that holds a third of the log is stil
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..errors import ReadError
-from ..session import sized
+from ..session import landed, sized
 
 PAGE_SIZE = 5000  # fixed value: the default request page size
 NOT_MODIFIED = 304  # fixed value: HTTP status of an unchanged scope
@@ -41,18 +43,25 @@ def live_pages(log: DataFrame, ends: DataFrame | None = None) -> DataFrame:
     return data.join(last, "request_key").where(live).drop("_attempt", "_end")
 
 
-def scan_pages(log: DataFrame, starts: DataFrame | None = None) -> DataFrame:
-    """The records of the log: ``request_key`` and the fields of ``values``.
+def scan_pages(
+    log: DataFrame, fields: Mapping[str, Sequence[str]] | None = None, starts: DataFrame | None = None
+) -> DataFrame:
+    """The records of the log, one row each.
 
-    ``starts`` (``request_key, start_offset``) makes it a resumed scan: only pages from that offset
-    onward, whole scopes where it names none.
+    ``fields`` maps column names to field paths inside a record; only those leaves are read from the
+    files, which exploding whole records and dropping columns later would not achieve. Without it
+    the rows have ``request_key`` and all fields. ``starts`` (``request_key, start_offset``) makes it
+    a resumed scan: only pages from that offset onward, whole scopes where it names none.
     """
     pages = live_pages(log)
     if starts is not None:
         pages = pages.join(sized(starts.select("request_key", "start_offset")), "request_key", "left").where(
             F.col("offset") >= F.coalesce("start_offset", F.lit(0))
         )
-    return pages.select("request_key", F.explode("values").alias("_record")).select("request_key", "_record.*")
+    if fields is None:
+        return pages.select("request_key", F.explode("values").alias("_record")).select("request_key", "_record.*")
+    leaves = [F.col(".".join(f"`{part}`" for part in ("values", *path))).alias(name) for name, path in fields.items()]
+    return pages.select(F.inline(F.arrays_zip(*leaves)))
 
 
 def scope_report(log: DataFrame) -> DataFrame:
@@ -110,13 +119,15 @@ def running_total(df: DataFrame, scope: list[str], position: str, value: str, ou
 def cut_pages(
     df: DataFrame, scope: str, key: str, page_size: int = PAGE_SIZE, key_span: int = 100_000
 ) -> DataFrame:
-    """Land a table as a page log: each scope's rows in ``key`` order, at most ``page_size`` per page.
+    """A table as a page log: each scope's rows in ``key`` order, at most ``page_size`` per page, and
+    the empty page that closes the scope.
 
     Rows are spread by (scope, span of ``key_span`` consecutive keys), so a scope is never one task's
     work, and every span ends with a short page. The page offset is the row count of the earlier
     spans plus the place inside the span. One shuffle of the rows: ranking, page forming and the join
     of the span offsets share its partitioning. ``key`` is the stable sort field: an integral id,
-    normally unique. A span with more rows than keys (a repeated key) is split by row hash.
+    normally unique. A span with more rows than keys (a repeated key) is split by row hash. The row
+    counts per span are landed first, since the split, the offsets and the closing pages need them.
     """
     if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         raise ReadError(f"pages are cut along an integral id, but {key!r} is {df.schema[key].dataType.simpleString()}")
@@ -124,7 +135,7 @@ def cut_pages(
     floor = -(2**63) // key_span  # rows without a key sort first
     spans = df.withColumn("_span", F.coalesce(F.expr(f"cast(`{key}` as bigint) div {key_span}"), F.lit(floor)))
     grain = [scope, "_span"]
-    sizes = spans.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = landed(df.sparkSession, spans.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n")), "span-sizes")
     bases = running_total(sizes, [scope], "_span", "_n", "_base").select(*grain, "_base")
     full = sizes.where(F.col("_n") > key_span)
     if not full.isEmpty():
@@ -137,10 +148,14 @@ def cut_pages(
     pages = numbered.groupBy(*grain, "_page").agg(
         F.count(F.lit(1)).cast("int").alias("n_values"), F.sort_array(F.collect_list(values)).alias("values")
     )
-    return pages.join(bases, grain).select(
+    offsets = pages.join(bases, grain).withColumn("offset", F.col("_base") + F.col("_page") * page_size)
+    ends = sizes.groupBy(scope).agg(F.sum("_n").alias("offset")).select(
+        scope, "offset", F.lit(0).alias("n_values"), F.array().cast(pages.schema["values"].dataType).alias("values")
+    )
+    return offsets.select(scope, "offset", "n_values", "values").unionByName(ends).select(
         F.col(scope).cast("string").alias("request_key"),
         F.lit(1).alias("attempt"),
-        (F.col("_base") + F.col("_page") * page_size).alias("offset"),
+        "offset",
         F.lit(200).alias("status"),
         F.lit(None).cast("string").alias("version_digest"),
         "n_values", "values",
@@ -159,18 +174,6 @@ def _split_spans(
     return split, inner.join(bases, grain).select(*grain, "_part", (F.col("_base") + F.col("_inner")).alias("_base"))
 
 
-def end_pages(pages: DataFrame) -> DataFrame:
-    """The empty page that closes each scope of a gap-free page log."""
-    totals = pages.groupBy("request_key", "attempt").agg(F.sum("n_values").alias("offset"))
-    return totals.select(
-        "request_key", "attempt", "offset",
-        F.lit(200).alias("status"),
-        F.lit(None).cast("string").alias("version_digest"),
-        F.lit(0).alias("n_values"),
-        F.array().cast(pages.schema["values"].dataType).alias("values"),
-    )
-
-
 def stable_sort(df: DataFrame, sort_field: str | None) -> DataFrame:
     """Ascending sort by a field, which may be a dotted path; no field, no sort."""
     return df.orderBy(_sort_column(df, sort_field)) if sort_field else df

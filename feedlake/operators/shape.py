@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,13 +15,45 @@ from ..errors import ReadError
 SEPARATOR = "_"
 
 
+def leaf_paths(schema: T.StructType, sep: str = SEPARATOR, prefix: str = "") -> dict[str, tuple[str, ...]]:
+    """Flat column name to field path, for every field that is not an object; lists count as one field.
+
+    On each level the plain fields come first, then the nested groups.
+    """
+    plain: list[tuple[str, tuple[str, ...]]] = []
+    nested: list[tuple[str, tuple[str, ...]]] = []
+    for field in schema.fields:
+        name = prefix + field.name
+        if isinstance(field.dataType, T.StructType):
+            below = leaf_paths(field.dataType, sep, name + sep)
+            nested += [(leaf, (field.name, *path)) for leaf, path in below.items()]
+        else:
+            plain.append((name, (field.name,)))
+    return distinct_names(plain + nested)
+
+
+def distinct_names(named: Sequence[tuple[str, Any]]) -> dict[str, Any]:
+    """The pairs as a mapping; two equal names (ignoring case, as Spark does) are an error."""
+    seen: set[str] = set()
+    for name, _ in named:
+        if name.lower() in seen:
+            raise ReadError(f"two fields would both become column {name!r}", column=name)
+        seen.add(name.lower())
+    return dict(named)
+
+
+def dotted(path: Sequence[str]) -> str:
+    """A field path as a column reference."""
+    return ".".join(f"`{name}`" for name in path)
+
+
 def flatten(df: DataFrame, sep: str = SEPARATOR) -> DataFrame:
     """Turn nested objects into ``parent<sep>child`` columns; lists stay whole.
 
-    On each level the plain fields come first, then the nested groups. A null object gives null
-    columns. Pure projection: no shuffle, and unused leaves are pruned from the scan.
+    A null object gives null columns. Pure projection: no shuffle, and unused leaves are pruned from
+    the scan.
     """
-    return df.select(*_distinct(_leaves(df.schema, None, "", sep)))
+    return df.select(*[F.col(dotted(path)).alias(name) for name, path in leaf_paths(df.schema, sep).items()])
 
 
 def explode_list(df: DataFrame, column: str, sep: str = SEPARATOR) -> DataFrame:
@@ -37,10 +70,11 @@ def explode_list(df: DataFrame, column: str, sep: str = SEPARATOR) -> DataFrame:
     if not (isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType)):
         raise ReadError(f"explode column {column!r} is not a list of objects but {dtype.simpleString()}", column=column)
     rest = [name for name in df.columns if name != column]
-    element = "__element"
-    rows = df.select(*[F.col(f"`{name}`") for name in rest], F.explode(F.col(f"`{column}`")).alias(element))
-    kept = [(name, F.col(f"`{name}`")) for name in rest]
-    return rows.select(*_distinct(kept + _leaves(dtype.elementType, F.col(element), f"{column}{sep}", sep)))
+    leaves = leaf_paths(dtype.elementType, sep, f"{column}{sep}")
+    distinct_names([(name, None) for name in (*rest, *leaves)])
+    kept = [F.col(f"`{name}`") for name in rest]
+    rows = df.select(*kept, F.explode(F.col(f"`{column}`")).alias("__element"))
+    return rows.select(*kept, *[F.col(dotted(("__element", *path))).alias(name) for name, path in leaves.items()])
 
 
 def explode_lists(df: DataFrame, columns: Sequence[str], sep: str = SEPARATOR) -> DataFrame:
@@ -51,25 +85,3 @@ def explode_lists(df: DataFrame, columns: Sequence[str], sep: str = SEPARATOR) -
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name; columns that a frame lacks are null. Nothing is de-duplicated."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
-
-
-def _leaves(schema: T.StructType, parent: Column | None, prefix: str, sep: str) -> list[tuple[str, Column]]:
-    plain: list[tuple[str, Column]] = []
-    nested: list[tuple[str, Column]] = []
-    for field in schema.fields:
-        column = F.col(f"`{field.name}`") if parent is None else parent.getField(field.name)
-        name = prefix + field.name
-        if isinstance(field.dataType, T.StructType):
-            nested += _leaves(field.dataType, column, name + sep, sep)
-        else:
-            plain.append((name, column))
-    return plain + nested
-
-
-def _distinct(named: list[tuple[str, Column]]) -> list[Column]:
-    seen: set[str] = set()
-    for name, _ in named:
-        if name.lower() in seen:
-            raise ReadError(f"two fields would both become column {name!r}", column=name)
-        seen.add(name.lower())
-    return [column.alias(name) for name, column in named]

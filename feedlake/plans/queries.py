@@ -17,11 +17,11 @@ from ..catalog import CATALOG, EntitySpec
 from ..functions import dates
 from ..functions.digest import scope_digests
 from ..functions.keys import window_scope_key
-from ..functions.selector import project
+from ..functions.selector import narrow_schema, project
 from ..operators import incremental, paging, shape, state, windows
 from ..session import landed, scratch_dir, sized
 from ..sources.page_source import decode_pages, read_pages
-from ..sources.replay import land_pages, replay_fetch, replay_scopes
+from ..sources.replay import ReplayFetch, land_pages, replay_scopes
 from ..streaming.changed_since import stream_changes
 from .reader import scan_entity
 
@@ -32,6 +32,7 @@ SPAN = 5_000
 EARLIER_RUN = dt.date(1998, 7, 15)  # the earlier run saw the orders placed before this day
 EVENT_WATERMARK = "2024-01-15T00:00:00Z"
 ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+ORDER_LEAVES = {name: (name,) for name in ORDER_FIELDS}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,33 +56,32 @@ def _earlier(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("o_orderdate") < F.lit(EARLIER_RUN))
 
 
-def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders landed as pages of monthly scopes."""
     return landed(spark, paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN), "pages")
 
 
-def _order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly scopes, each closed by an empty page and followed by a stray page that no scan may return."""
-    pages = _order_pages(spark, sf_dir)
-    ends = paging.end_pages(pages)
-    after = ends.select("request_key", (F.col("offset") + PAGE).alias("_after"))
-    stray = pages.where("offset = 0").join(sized(after), "request_key").withColumn("offset", F.col("_after")).drop("_after")
-    return pages.unionByName(ends).unionByName(stray)
+def _with_strays(log: DataFrame) -> DataFrame:
+    """Add a page after the end of every scope, which no scan may return."""
+    after = log.where("n_values = 0").select("request_key", (F.col("offset") + PAGE).alias("_after"))
+    stray = log.where("offset = 0 and n_values > 0").join(sized(after), "request_key").withColumn("offset", F.col("_after"))
+    return log.unionByName(stray.drop("_after"))
 
 
 # Paged scans, sorting, offsets
 
 
 def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paging.scan_pages(_order_log(spark, sf_dir)).select(*ORDER_FIELDS)
+    return paging.scan_pages(_with_strays(_order_log(spark, sf_dir)), ORDER_LEAVES)
 
 
 def page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN)
-    return pages.select("request_key", F.col("offset").alias("page_offset"), "n_values")
+    log = paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN)
+    return log.where("n_values > 0").select("request_key", F.col("offset").alias("page_offset"), "n_values")
 
 
 def scope_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paging.scope_report(_order_log(spark, sf_dir)).select("request_key", "n_pages", "n_rows", "complete", "contiguous")
+    return paging.scope_report(_with_strays(_order_log(spark, sf_dir))).select("request_key", "n_pages", "n_rows", "complete", "contiguous")
 
 
 def sorted_page(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,12 +95,12 @@ def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages, requested again page by page through the Python data source."""
-    pages = _order_pages(spark, sf_dir)
-    log = pages.unionByName(paging.end_pages(pages))
+    log = _order_log(spark, sf_dir)
     root = scratch_dir(spark, "replay")
     land_pages(log, root)
-    raw = landed(spark, read_pages(spark, replay_fetch(root), replay_scopes(log)), "raw")
-    return paging.scan_pages(decode_pages(raw, pages.schema["values"].dataType.elementType)).select(*ORDER_FIELDS)
+    raw = landed(spark, read_pages(spark, ReplayFetch(root), replay_scopes(log)), "raw")
+    record = narrow_schema(log.schema["values"].dataType.elementType, ORDER_FIELDS)
+    return paging.scan_pages(decode_pages(raw, record), ORDER_LEAVES)
 
 
 # Changed-since reads
@@ -211,11 +211,10 @@ def conditional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _digest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over the scopes from 1996 on that broke off in 2000: later scopes have no end page."""
-    pages = _order_pages(spark, sf_dir).where("request_key >= '1996-01-01'").drop("version_digest", "values")
-    digests = sized(_order_digests(_orders(spark, sf_dir)).select("request_key", F.col("digest").alias("version_digest")))
-    totals = pages.groupBy("request_key", "attempt", "status").agg(F.sum("n_values").alias("offset"))
-    ends = totals.where("request_key < '2000-01-01'").withColumn("n_values", F.lit(0))
-    return pages.unionByName(ends).join(digests, "request_key")
+    log = _order_log(spark, sf_dir).drop("version_digest", "values")
+    received = log.where("request_key >= '1996-01-01' and (n_values > 0 or request_key < '2000-01-01')")
+    digests = _order_digests(_orders(spark, sf_dir)).select("request_key", F.col("digest").alias("version_digest"))
+    return received.join(sized(landed(spark, digests, "digests")), "request_key")
 
 
 def _saved_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,12 +253,13 @@ def resume_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resumed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scopes unchanged since the earlier run go on after its first page, the others start over."""
-    pages = _order_pages(spark, sf_dir)
-    reached = pages.where("offset = 0").select("request_key", F.lit("resume_offset").alias("kind"), F.col("n_values").cast("string").alias("value"))
+    log = _order_log(spark, sf_dir)
+    reached = log.where("offset = 0 and n_values > 0").select(
+        "request_key", F.lit("resume_offset").alias("kind"), F.col("n_values").cast("string").alias("value")
+    )
     marks = _saved_state(spark, sf_dir).where("kind = 'resume_digest'")
     starts = state.resume_starts(reached.unionByName(marks), _order_digests(_orders(spark, sf_dir)))
-    log = pages.unionByName(paging.end_pages(pages))
-    return paging.scan_pages(log, landed(spark, starts, "starts")).select(*ORDER_FIELDS)
+    return paging.scan_pages(log, ORDER_LEAVES, landed(spark, starts, "starts"))
 
 
 # Nested records
@@ -358,8 +358,7 @@ def _entity_rows(spark: SparkSession, rows: DataFrame, spec: EntitySpec, given:
     schema = spec.record_schema()
     fields = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
     records = rows.select(given["request_key"].alias("request_key"), *fields)
-    pages = landed(spark, paging.cut_pages(records, "request_key", "id", PAGE, SPAN), "pages")
-    return scan_entity(pages.unionByName(paging.end_pages(pages)), spec)
+    return scan_entity(landed(spark, paging.cut_pages(records, "request_key", "id", PAGE, SPAN), "pages"), spec)
 
 
 def _object(column: str) -> Column:
@@ -407,7 +406,7 @@ def custom_endpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: orders landed as pages, scanned, put into windows, with row count and digest per window."""
-    rows = paging.scan_pages(_order_log(spark, sf_dir)).drop("request_key")
+    rows = paging.scan_pages(_order_log(spark, sf_dir), {**ORDER_LEAVES, "o_orderdate": ("o_orderdate",)})
     inside = windows.assign_windows(rows, "o_orderdate", dt.date(1995, 1, 1), dt.date(2001, 8, 2))
     return scope_digests(inside, ["period_from", "period_to"], ORDER_FIELDS)
 

@@ -18,9 +18,9 @@ from ..catalog import EntitySpec
 from ..errors import PASS_THROUGH, FeedError, ReadError
 from ..functions.dates import watermark_text
 from ..functions.keys import scope_key
-from ..functions.selector import narrow_schema, project, render
+from ..functions.selector import conform, field_type, narrow_schema, render
 from ..operators.paging import scan_pages
-from ..operators.shape import SEPARATOR, explode_lists, flatten
+from ..operators.shape import SEPARATOR, explode_lists, leaf_paths
 from ..operators.state import (
     STATE_SCHEMA, committed_state, digest_watermarks, failed_state, finished_scopes, resume_entries,
 )
@@ -32,9 +32,20 @@ from ..spec import ReadSettings, reader_kind, resolve
 
 
 def scan_entity(log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR) -> DataFrame:
-    """The flat rows of an entity from its page log: scan, select, flatten, explode."""
-    records = scan_pages(log).drop("request_key")
-    return explode_lists(flatten(project(records, spec.fields), sep), spec.explode_columns, sep)
+    """The flat rows of an entity from its page log.
+
+    Scan, selection and flattening are one step, so only the selected leaves are read from the files
+    and one log of a path serves its full and its narrow entities.
+    """
+    record = log.schema["values"].dataType.elementType
+    wanted = narrow_schema(record, spec.fields)
+    leaves = leaf_paths(wanted, sep)
+    rows = scan_pages(log, leaves)
+    flat = rows.select(*[
+        conform(F.col(f"`{name}`"), field_type(record, path), field_type(wanted, path)).alias(name)
+        for name, path in leaves.items()
+    ])
+    return explode_lists(flat, spec.explode_columns, sep)
 
 
 class FeedReader:

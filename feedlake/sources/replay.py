@@ -3,41 +3,63 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .requests import Fetch, PageRequest, PageResponse, ScopeRequest
+from .requests import PageRequest, PageResponse, ScopeRequest
 
 
 def land_pages(log: DataFrame, root: str) -> None:
-    """Write a page log below ``root``, one folder per scope and the values as JSON text.
+    """Write a page log below ``root``: one folder per scope, pages in offset order, values as JSON text.
 
-    The extra spread column keeps a large scope from being written by one task.
+    Range partitioning on (scope, offset) cuts a large scope into several files of consecutive pages
+    and keeps a small one in a single file.
     """
     body = log.select(
-        F.col("request_key").alias("scope"), "attempt", "offset", "status", "version_digest", "n_values",
-        F.to_json("values").alias("body"),
+        F.col("request_key").alias("scope"), "offset", "status", "version_digest", "n_values", F.to_json("values").alias("body")
     )
-    spread = F.pmod(F.xxhash64("offset"), F.lit(64))
-    body.repartition("scope", spread).sortWithinPartitions("scope", "offset").write.partitionBy("scope").parquet(root)
+    body.repartitionByRange("scope", "offset").sortWithinPartitions("scope", "offset").write.partitionBy("scope").parquet(root)
 
 
-def replay_fetch(root: str) -> Fetch:
-    """A fetch function that answers from the pages below ``root``; a request's path names the scope."""
+class ReplayFetch:
+    """A fetch function that answers from the pages below ``root``; a request's path names the scope.
 
-    def fetch(request: PageRequest) -> PageResponse:
-        import pyarrow.dataset as ds
+    Requests in offset order are served from one running scan of the scope's folder, a few pages in
+    memory at a time.
+    """
 
-        page = ds.field("offset") == request.params["from"]
-        folder = ds.dataset(f"{root}/scope={request.path}", format="parquet")
-        found = folder.to_table(columns=["status", "version_digest", "body"], filter=page).to_pylist()
-        if not found:
+    def __init__(self, root: str) -> None:
+        self._root = root
+        self._scope: str | None = None
+        self._next = -1
+        self._pages: Iterator[dict[str, Any]] = iter(())
+
+    def __call__(self, request: PageRequest) -> PageResponse:
+        offset = request.params["from"]
+        if (self._scope, self._next) != (request.path, offset):
+            self._scope, self._pages = request.path, self._open(request.path, offset)
+        page = next(self._pages, None)
+        if page is None or page["offset"] != offset:
             return PageResponse(body={"values": []})
-        first = found[0]
-        return PageResponse(first["status"], {"values": json.loads(first["body"]), "versionDigest": first["version_digest"]})
+        self._next = offset + page["n_values"]
+        return PageResponse(page["status"], {"values": json.loads(page["body"]), "versionDigest": page["version_digest"]})
+
+    def _open(self, scope: str, offset: int) -> Iterator[dict[str, Any]]:
+        import pyarrow.dataset as ds
+
+        folder = ds.dataset(f"{self._root}/scope={scope}", format="parquet")
+        later = ds.field("offset") >= offset
+        for batch in folder.to_batches(filter=later, batch_size=16, batch_readahead=1, fragment_readahead=1):
+            yield from batch.to_pylist()
+
+    def __getstate__(self) -> str:
+        return self._root
 
-    return fetch
+    def __setstate__(self, root: str) -> None:
+        self.__init__(root)
 
 
 def replay_scopes(log: DataFrame, rows_per_part: int = 1_000_000) -> list[ScopeRequest]:

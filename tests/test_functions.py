@@ -1,0 +1,228 @@
+"""Selectors, dates, keys and digests."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.errors import ReadError
+from feedlake.functions import dates, digest, keys, selector
+from feedlake.operators import windows
+
+from .conftest import rows
+
+
+@pytest.mark.parametrize(
+    ("fields", "text"),
+    [
+        (["id", "name"], "id,name"),
+        ([{"account": ["id"]}], "account(id)"),
+        ([{"bankAccountPresentation": ["iban", {"country": ["id"]}]}], "bankAccountPresentation(iban,country(id))"),
+    ],
+)
+def test_render(fields, text):
+    assert selector.render(fields) == text
+
+
+def test_roots():
+    assert selector.roots(["id", {"account": ["id", "number"]}]) == {"id", "account"}
+
+
+NESTED = "id long, skip string, account struct<id long, number long>, lines array<struct<a long, b struct<c long, d long>>>"
+
+
+def test_project_through_objects_and_lists(spark):
+    df = spark.createDataFrame([(1, "x", (5, 1500), [(1, (2, 3)), None]), (2, "y", None, None)], NESTED)
+    got = selector.project(df, ["id", {"account": ["id"]}, {"lines": [{"b": ["d"]}]}])
+    assert got.schema.simpleString() == (
+        "struct<id:bigint,account:struct<id:bigint>,lines:array<struct<b:struct<d:bigint>>>>"
+    )
+    first, second = (row.asDict(recursive=True) for row in got.orderBy("id").collect())
+    assert first == {"id": 1, "account": {"id": 5}, "lines": [{"b": {"d": 3}}, None]}
+    assert second == {"id": 2, "account": None, "lines": None}
+
+
+def test_project_whole_object(spark):
+    df = spark.createDataFrame([(1, "x", (5, 1500), [])], NESTED)
+    assert selector.project(df, ["account"]).first()["account"].asDict() == {"id": 5, "number": 1500}
+
+
+@pytest.mark.parametrize("fields", [["nope"], [{"account": ["nope"]}], [{"id": ["x"]}]])
+def test_project_refuses_unknown_fields(spark, fields):
+    with pytest.raises(ReadError):
+        selector.project(spark.createDataFrame([], NESTED), fields)
+
+
+def test_narrow_schema_equals_projection(spark):
+    df = spark.createDataFrame([], NESTED)
+    fields = ["id", {"lines": [{"b": ["c"]}]}]
+    assert selector.narrow_schema(df.schema, fields).simpleString() == selector.project(df, fields).schema.simpleString()
+
+
+def test_projection_narrows_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, "x", (5, 1500), [(1, (2, 3))])], NESTED).write.parquet(str(tmp_path / "t"))
+    got = selector.project(spark.read.parquet(str(tmp_path / "t")), [{"account": ["id"]}])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<account:struct<id:bigint>>" in plan
+
+
+# dates
+
+
+def test_shift_years_and_leap_day(spark):
+    df = spark.createDataFrame([(dt.date(2024, 2, 29),), (dt.date(2024, 6, 1),)], "d date")
+    got = rows(df.select("d", dates.shift_years(F.col("d"), -1).alias("b"), dates.shift_years(F.col("d"), -4).alias("f")))
+    assert got == [
+        (dt.date(2024, 2, 29), dt.date(2023, 2, 28), dt.date(2020, 2, 29)),
+        (dt.date(2024, 6, 1), dt.date(2023, 6, 1), dt.date(2020, 6, 1)),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("today", "back", "want"),
+    [
+        (dt.date(2024, 6, 1), None, dt.date(2021, 6, 1)),
+        (dt.date(2024, 6, 1), "3", dt.date(2021, 6, 1)),
+        (dt.date(2024, 6, 1), "-3", dt.date(2021, 6, 1)),
+        (dt.date(2024, 2, 29), "-1", dt.date(2023, 2, 28)),
+        (dt.date(2024, 2, 29), "4", dt.date(2020, 2, 29)),
+    ],
+)
+def test_back_to(today, back, want):
+    assert dates.back_to(today, back) == want
+
+
+@pytest.mark.parametrize("bad", ["not-a-number", "99999", ""])
+def test_back_to_refuses(bad):
+    with pytest.raises(ReadError):
+        dates.back_to(dt.date(2024, 6, 1), bad)
+
+
+def month_list(spark, start, stop):
+    return [(r["period_from"].isoformat(), r["period_to"].isoformat())
+            for r in windows.window_table(spark, start, stop).orderBy("period_from").collect()]
+
+
+def test_month_windows(spark):
+    assert month_list(spark, dt.date(2024, 1, 15), dt.date(2024, 4, 1)) == [
+        ("2024-01-01", "2024-02-01"), ("2024-02-01", "2024-03-01"), ("2024-03-01", "2024-04-01"),
+    ]
+
+
+def test_month_windows_clip_only_the_last(spark):
+    assert month_list(spark, dt.date(2024, 1, 31), dt.date(2024, 2, 10)) == [
+        ("2024-01-01", "2024-02-01"), ("2024-02-01", "2024-02-10"),
+    ]
+
+
+def test_month_windows_single_day(spark):
+    assert windows.read_span(dt.date(2024, 3, 1), "0") == (dt.date(2024, 3, 1), dt.date(2024, 3, 2))
+    assert month_list(spark, dt.date(2024, 3, 1), dt.date(2024, 3, 2)) == [("2024-03-01", "2024-03-02")]
+
+
+@pytest.mark.parametrize("stop", [dt.date(2024, 3, 1), dt.date(2024, 2, 1), dt.date(2023, 1, 1)])
+def test_month_windows_empty_range(spark, stop):
+    assert month_list(spark, dt.date(2024, 3, 1), stop) == []
+
+
+def test_default_read_spans_37_windows(spark):
+    assert len(month_list(spark, *windows.read_span(dt.date(2024, 6, 15)))) == 37
+
+
+def test_assign_windows_matches_join_with_the_table(spark):
+    start, stop = dt.date(2024, 1, 15), dt.date(2024, 3, 10)
+    days = spark.range(120).select(F.date_add(F.lit(dt.date(2023, 12, 1)), F.col("id").cast("int")).alias("d"))
+    got = rows(windows.assign_windows(days, "d", start, stop))
+    table = [(dt.date.fromisoformat(a), dt.date.fromisoformat(b)) for a, b in month_list(spark, start, stop)]
+    want = sorted(((r["d"], a, b) for r in days.collect() for a, b in table if a <= r["d"] < b), key=repr)
+    assert got == want
+
+
+def test_assign_windows_keeps_timestamps_of_the_last_day_out(spark):
+    df = spark.sql("select * from values (timestamp_ntz'2024-03-09 23:59:59'), (timestamp_ntz'2024-03-10 00:00:00') t(ts)")
+    got = windows.assign_windows(df, "ts", dt.date(2024, 3, 1), dt.date(2024, 3, 10)).collect()
+    assert [r["ts"] for r in got] == [dt.datetime(2024, 3, 9, 23, 59, 59)]
+
+
+def test_watermark_round_trip(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-15 01:02:03.456' as ts")
+    got = df.select(dates.format_watermark(F.col("ts")).alias("w")).withColumn("back", dates.parse_watermark(F.col("w"))).first()
+    assert got["w"] == "2024-01-15T01:02:03Z"
+    assert got["back"] == dt.datetime(2024, 1, 15, 1, 2, 3)
+    assert dates.watermark_text(dt.datetime(2024, 1, 15, 2, 2, 3, tzinfo=dt.timezone(dt.timedelta(hours=1)))) == got["w"]
+
+
+# keys
+
+
+def test_scope_key_is_stable_and_tells_requests_apart():
+    base = keys.scope_key("p", ["id"], "id")
+    assert base == keys.scope_key("p", ["id"], "id", {})
+    others = [
+        keys.scope_key("q", ["id"], "id"),
+        keys.scope_key("p", ["id", "name"], "id"),
+        keys.scope_key("p", ["id"], None),
+        keys.scope_key("p", ["id"], "id", {"a": 1}),
+        keys.scope_key("p", ["id"], "id", None, ("2024-01-01", "2024-02-01")),
+    ]
+    assert len({base, *others}) == 6
+    assert keys.scope_key("p", ["id"], "id", {"a": 1, "b": 2}) == keys.scope_key("p", ["id"], "id", {"b": 2, "a": 1})
+
+
+@pytest.mark.parametrize("params", [None, {"isOpen": True, "name": "Ærø \"x\""}])
+def test_window_keys_match_the_driver_form(spark, params):
+    df = windows.window_table(spark, dt.date(2024, 1, 15), dt.date(2024, 3, 10))
+    key = keys.window_scope_key("ledger/posting", ["id", {"a": ["id"]}], "id", params, F.col("period_from"), F.col("period_to"))
+    for row in df.withColumn("key", key).collect():
+        window = (str(row["period_from"]), str(row["period_to"]))
+        assert row["key"] == keys.scope_key("ledger/posting", ["id", {"a": ["id"]}], "id", params, window)
+
+
+# digests
+
+
+def digests(df, columns=("a", "b")):
+    return {r["scope"]: (r["n_rows"], r["digest"]) for r in digest.scope_digests(df, ["scope"], columns).collect()}
+
+
+def test_digest_reflects_content_not_order(spark):
+    data = [("s", i, str(i)) for i in range(100)] + [("t", 1, None)]
+    schema = "scope string, a long, b string"
+    one = digests(spark.createDataFrame(data, schema).repartition(3))
+    two = digests(spark.createDataFrame(data[::-1], schema).repartition(7))
+    assert one == two
+    changed = digests(spark.createDataFrame([("s", 0, "x"), *data[1:]], schema))
+    assert changed["s"] != one["s"]
+    assert changed["t"] == one["t"]
+
+
+def test_digest_counts_copies_and_tells_nulls_apart(spark):
+    schema = "scope string, a string, b string"
+    def of(*pairs):
+        return digests(spark.createDataFrame([("s", *pair) for pair in pairs], schema))["s"][1]
+
+    assert of(("x", "y")) != of(("x", "y"), ("x", "y"))
+    texts = [(None, "x"), ("x", None), ("", "x"), ("x", ""), ("-", "x"), ("1:x", ""), ("x1", "x"), ("x", "1x")]
+    assert len({of(pair) for pair in texts}) == len(texts)
+
+
+def test_digest_equals_the_plain_sum(spark):
+    import hashlib
+
+    data = [("s", i, f"r{i}") for i in range(50)]
+    got = digests(spark.createDataFrame(data, "scope string, a long, b string"))["s"]
+    total = 0
+    for _, a, b in data:
+        text = "".join(f"{len(v)}:{v}" for v in (str(a), b))
+        total += int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    assert got == (50, f"50-{total}")
+
+
+def test_digest_of_nested_columns(spark):
+    schema = "scope string, a struct<x long, y long>, b array<long>"
+    def of(row):
+        df = spark.createDataFrame([("s", *row)], schema)
+        return digests(df, digest.text_columns(df.schema, ["a", "b"]))["s"][1]
+
+    rows_ = [((1, None), [1]), ((None, 1), [1]), (None, [1]), ((1, None), []), ((1, None), None), ((1, None), [None, 1])]
+    assert len({of(row) for row in rows_}) == len(rows_)

@@ -1,0 +1,129 @@
+"""Changed-since and conditional scans, and the state table."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.errors import ReadError
+from feedlake.operators import incremental, state
+from feedlake.sources.state_store import StateStore
+
+from .conftest import rows
+
+STATE = state.STATE_SCHEMA
+HEADER = "request_key string, attempt int, offset long, status int, version_digest string, n_values int"
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_changed_since_is_inclusive_and_pushed_down(spark, tmp_path, kind):
+    path = str(tmp_path / "t")
+    spark.sql(f"select cast(x as {kind}) ts from values ('2024-01-14 23:59:59'), ('2024-01-15 00:00:00'), ('2024-02-01') t(x)") \
+        .write.parquet(path)
+    df = spark.read.parquet(path)
+    got = incremental.changed_since(df, "ts", "2024-01-15T00:00:00Z")
+    assert got.count() == 2
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in got._jdf.queryExecution().executedPlan().toString()
+    assert incremental.changed_since(df, "ts", "2024-01-15T00:00:00Z", before="2024-02-01T00:00:00Z").count() == 1
+    assert incremental.changed_since(df, "ts", None) is df
+
+
+def test_changed_since_on_text_and_wrong_types(spark):
+    df = spark.createDataFrame([("2024-01-14T00:00:00Z", 1), ("2024-01-16T00:00:00Z", 2)], "ts string, n long")
+    assert rows(incremental.changed_since(df, "ts", "2024-01-15T00:00:00Z").select("n")) == [(2,)]
+    with pytest.raises(ReadError):
+        incremental.changed_since(df, "n", "2024-01-15T00:00:00Z")
+
+
+@pytest.mark.parametrize("name", ["from", "count", "fields", "changedSince", "dateFrom", "dateTo", "sorting"])
+def test_reserved_params(spark, name):
+    with pytest.raises(ReadError, match=name):
+        incremental.filter_params(spark.range(1), {name: 1})
+
+
+def test_filter_params(spark):
+    df = spark.createDataFrame([(1, True, "a"), (2, False, "a"), (3, True, "b")], "id long, isInactive boolean, t string")
+    assert rows(incremental.filter_params(df, {"isInactive": True, "t": "a"}).select("id")) == [(1,)]
+    assert incremental.filter_params(df, None) is df
+
+
+def test_changed_scopes_and_conditional_scan(spark):
+    current = spark.createDataFrame([("same", "d"), ("moved", "e"), ("new", "f"), ("null", None)], "k string, digest string")
+    saved = spark.createDataFrame([("same", "d"), ("moved", "d"), ("gone", "g"), ("null", None)], "k string, digest string")
+    changed = incremental.changed_scopes(current, saved, ["k"])
+    assert rows(changed, "k") == [("moved",), ("new",), ("null",)]
+    data = spark.createDataFrame([("same", 1), ("moved", 2), ("moved", 2), ("new", 3), ("null", 4), ("gone", 5)], "k string, v long")
+    assert rows(incremental.conditional_scan(data, changed, ["k"])) == [("moved", 2), ("moved", 2), ("new", 3), ("null", 4)]
+
+
+def table(spark, *entries):
+    return spark.createDataFrame(list(entries), STATE)
+
+
+def test_commit_replaces_keeps_others_and_clears_resume(spark):
+    old = table(spark, ("a", "digest", "1"), ("b", "digest", "2"), ("c", "changed_since", "t"), ("z", "resume_offset", "5"),
+                ("z", "resume_digest", "9"), ("n", "digest", "7"))
+    new = table(spark, ("a", "digest", "8"), ("d", "digest", "3"), ("n", "digest", None))
+    assert rows(state.committed_state(old, new)) == sorted([
+        ("a", "digest", "8"), ("b", "digest", "2"), ("c", "changed_since", "t"), ("d", "digest", "3"), ("n", "digest", None),
+    ], key=repr)
+
+
+def test_failure_keeps_watermarks_and_merges_resume(spark):
+    old = table(spark, ("a", "digest", "1"), ("a", "resume_offset", "2"), ("a", "resume_digest", "1"),
+                ("b", "resume_offset", "4"), ("b", "resume_digest", "x"), ("c", "resume_offset", "6"), ("c", "resume_digest", "y"))
+    resume = table(spark, ("b", "resume_offset", "9"), ("b", "resume_digest", "w"))
+    finished = spark.createDataFrame([("a",)], "request_key string")
+    assert rows(state.failed_state(old, resume, finished)) == [
+        ("a", "digest", "1"), ("b", "resume_digest", "w"), ("b", "resume_offset", "9"),
+        ("c", "resume_digest", "y"), ("c", "resume_offset", "6"),
+    ]
+
+
+def test_state_from_a_page_log(spark):
+    log = spark.createDataFrame([
+        ("done", 1, 0, 200, "d1", 2), ("done", 1, 2, 200, "d2", 0),
+        ("null", 1, 0, 200, None, 1), ("null", 1, 1, 200, None, 0),
+        ("same", 1, 0, 304, None, 0),
+        ("void", 1, 0, 200, "d9", 0),
+        ("open", 1, 0, 200, "d3", 2), ("open", 1, 2, 200, "d4", 3),
+        ("opennull", 1, 0, 200, None, 2),
+        ("restart", 1, 0, 200, "old", 5), ("restart", 1, 5, 200, "old", 5), ("restart", 2, 0, 200, "new", 4),
+        ("fail", 1, 0, 0, None, None),
+        ("late304", 1, 0, 200, "d5", 2), ("late304", 1, 2, 304, None, 0),
+    ], HEADER)
+    assert rows(state.digest_watermarks(log)) == sorted([
+        ("done", "digest", "d1"), ("late304", "digest", "d5"), ("null", "digest", None), ("void", "digest", "d9"),
+    ], key=repr)
+    assert rows(state.finished_scopes(log)) == [("done",), ("late304",), ("null",), ("same",), ("void",)]
+    assert rows(state.resume_entries(log)) == [
+        ("open", "resume_digest", "d3"), ("open", "resume_offset", "5"),
+        ("restart", "resume_digest", "new"), ("restart", "resume_offset", "4"),
+    ]
+
+
+def test_resume_starts(spark):
+    saved = table(spark, ("ok", "resume_offset", "3"), ("ok", "resume_digest", "d"), ("moved", "resume_offset", "3"),
+                  ("moved", "resume_digest", "d"), ("null", "resume_offset", "3"), ("null", "resume_digest", None),
+                  ("zero", "resume_offset", "0"), ("zero", "resume_digest", "d"), ("gone", "resume_offset", "8"))
+    current = spark.createDataFrame(
+        [("ok", "d"), ("moved", "e"), ("null", None), ("zero", "d"), ("fresh", "d")], "request_key string, digest string"
+    )
+    assert rows(state.resume_starts(saved, current)) == [("fresh", 0), ("moved", 0), ("null", 0), ("ok", 3), ("zero", 0)]
+
+
+def test_state_store(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"))
+    assert rows(store.load()) == []
+    store.publish(table(spark, ("a", "digest", "1")), "run1")
+    assert rows(StateStore(spark, str(tmp_path / "state")).load()) == [("a", "digest", "1")]
+    store.publish(state.committed_state(store.load(), table(spark, ("a", "digest", None))), "run2")
+    assert rows(store.load()) == [("a", "digest", None)]
+    table(spark, ("x", "digest", "9")).write.parquet(str(tmp_path / "state" / "versions" / "died"))  # never published
+    assert rows(store.load()) == [("a", "digest", None)]
+
+
+def test_watermark_moment_bound_is_whole_seconds(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 15, 0, 0, 0, 1),)], "ts timestamp_ntz")
+    assert incremental.changed_since(df, "ts", "2024-01-15T00:00:00Z").count() == 1
+    assert incremental.changed_since(df, "ts", "2024-01-15T00:00:01Z").select(F.count("*")).first()[0] == 0
