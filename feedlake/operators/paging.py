@@ -22,29 +22,52 @@ PAGE_SIZE = 5000  # fixed value: the default request page size
 NOT_MODIFIED = 304  # fixed value: HTTP status of an unchanged scope
 
 
-def _ends() -> Column:
-    return (F.col("n_values") == 0) | (F.col("status") == NOT_MODIFIED)
+def scope_facts(log: DataFrame) -> DataFrame:
+    """What the page headers say about each scope's latest ``attempt``, from a single aggregate.
 
+    ``end_offset`` is the first ending page (null: unfinished), ``opened`` tells whether any page came
+    back, ``first_digest`` is the digest of the first one, ``next_offset`` follows the last data page.
+    """
+    n, offset = F.col("n_values"), F.col("offset")
+    unchanged = F.col("status") == NOT_MODIFIED
+    back = (-offset).alias("back")  # the largest struct of the latest attempt then has the smallest offset
+    found = log.groupBy("request_key").agg(
+        F.max("attempt").alias("attempt"),
+        F.max(F.when((n == 0) | unchanged, F.struct("attempt", back))).alias("end"),
+        F.max(F.when(n.isNotNull() & ~unchanged, F.struct("attempt", back, "version_digest"))).alias("first"),
+        F.max(F.when(n > 0, F.struct("attempt", (offset + n).alias("next")))).alias("last"),
+    )
 
-def page_ends(log: DataFrame) -> DataFrame:
-    """Per scope the latest ``attempt`` and its ``end_offset``, the first ending page (null: unfinished)."""
-    attempts = log.groupBy("request_key", "attempt").agg(F.min(F.when(_ends(), F.col("offset"))).alias("end_offset"))
-    return attempts.groupBy("request_key").agg(
-        F.max("attempt").alias("attempt"), F.max_by("end_offset", "attempt").alias("end_offset")
+    def latest(fact: str) -> Column:
+        return F.col(f"{fact}.attempt") == F.col("attempt")
+
+    return found.select(
+        "request_key", "attempt",
+        F.when(latest("end"), -F.col("end.back")).alias("end_offset"),
+        F.coalesce(latest("first"), F.lit(False)).alias("opened"),
+        F.when(latest("first"), F.col("first.version_digest")).alias("first_digest"),
+        F.when(latest("last"), F.col("last.next")).alias("next_offset"),
     )
 
 
-def live_pages(log: DataFrame, ends: DataFrame | None = None) -> DataFrame:
-    """The data pages of every scope's latest attempt that lie before its end."""
-    ends = sized(ends if ends is not None else page_ends(log))
-    last = ends.select("request_key", F.col("attempt").alias("_attempt"), F.col("end_offset").alias("_end"))
+def live_pages(log: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """The data pages of every scope's latest attempt that lie before its end.
+
+    ``facts`` is a landed :func:`scope_facts` table of the log, if the caller has one.
+    """
+    if facts is None:
+        facts = landed(log.sparkSession, scope_facts(log).select("request_key", "attempt", "end_offset"), "scope-facts")
+    last = sized(facts.select("request_key", F.col("attempt").alias("_attempt"), F.col("end_offset").alias("_end")))
     data = log.where((F.col("n_values") > 0) & (F.col("status") != NOT_MODIFIED))
     live = (F.col("attempt") == F.col("_attempt")) & (F.col("_end").isNull() | (F.col("offset") < F.col("_end")))
     return data.join(last, "request_key").where(live).drop("_attempt", "_end")
 
 
 def scan_pages(
-    log: DataFrame, fields: Mapping[str, Sequence[str]] | None = None, starts: DataFrame | None = None
+    log: DataFrame,
+    fields: Mapping[str, Sequence[str]] | None = None,
+    starts: DataFrame | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """The records of the log, one row each.
 
@@ -53,7 +76,7 @@ def scan_pages(
     the rows have ``request_key`` and all fields. ``starts`` (``request_key, start_offset``) makes it
     a resumed scan: only pages from that offset onward, whole scopes where it names none.
     """
-    pages = live_pages(log)
+    pages = live_pages(log, facts)
     if starts is not None:
         pages = pages.join(sized(starts.select("request_key", "start_offset")), "request_key", "left").where(
             F.col("offset") >= F.coalesce("start_offset", F.lit(0))
@@ -72,7 +95,7 @@ def scope_report(log: DataFrame) -> DataFrame:
     spreads a large scope over all tasks.
     """
     header = log.select("request_key", "attempt", "offset", "status", "version_digest", "n_values")
-    ends = page_ends(header)
+    ends = landed(log.sparkSession, scope_facts(header), "scope-facts")
     pages = live_pages(header, ends).select("request_key", "offset", "n_values", "version_digest")
     begins = pages.select("request_key", "offset").union(
         ends.where("end_offset is not null").select("request_key", F.col("end_offset").alias("offset"))
@@ -195,29 +218,30 @@ def offset_page(df: DataFrame, sort_field: str, offset: int, limit: int, seek_be
 
 def _seek(df: DataFrame, column: Column, offset: int, limit: int, enough: int) -> tuple[DataFrame, int]:
     key = df.select(column.cast("long").alias("k"))
-    low, high, nulls = key.agg(F.min("k"), F.max("k"), F.count_if(F.col("k").isNull())).first()
-    if low is None or nulls:
+    low, high, total, known = key.agg(F.min("k"), F.max("k"), F.count(F.lit(1)), F.count("k")).first()
+    if offset >= total:
+        return df.where(F.lit(False)), 0
+    if known < total:  # rows without a key sort first; leave them to the plain sort
         return df, offset
-    before = 0
+    first, _, before = _cell_of(key, low, high, offset, 0, enough)
+    _, last, _ = _cell_of(key, first, high, min(offset + limit, total) - 1, before, enough)
+    return df.where(column.between(first, last)), offset - before
+
+
+def _cell_of(key: DataFrame, low: int, high: int, rank: int, before: int, enough: int) -> tuple[int, int, int]:
+    """A narrow key range around the row of that rank, and the number of rows before the range."""
     while high > low:
         step = -(-(high - low + 1) // 1024)
         cells = F.expr(f"(k - {low}L) div {step}L").alias("cell")
-        counts = sorted(key.where(F.col("k").between(low, high)).groupBy(cells).count().collect())
-        first, last, seen, kept = None, None, before, 0
-        for cell, count in counts:
-            if seen + count > offset and first is None:
-                first, first_before = cell, seen
-            if first is not None:
-                last, kept = cell, kept + count
-            seen += count
-            if seen >= offset + limit:
+        found = 0
+        for cell, found in sorted(key.where(F.col("k").between(low, high)).groupBy(cells).count().collect()):
+            if before + found > rank:
                 break
-        if first is None:
-            return df.where(F.lit(False)), 0
-        before, (low, high) = first_before, (low + first * step, min(high, low + (last + 1) * step - 1))
-        if kept <= enough + limit or step == 1:
+            before += found
+        low, high = low + cell * step, min(high, low + (cell + 1) * step - 1)
+        if found <= enough:
             break
-    return df.where(column.between(low, high)), offset - before
+    return low, high, before
 
 
 def _sort_column(df: DataFrame, sort_field: str) -> Column:

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .paging import NOT_MODIFIED, live_pages, page_ends
-
 WATERMARKS = ("digest", "changed_since")
 RESUMES = ("resume_offset", "resume_digest")
 STATE_SCHEMA = "request_key string, kind string, value string"
@@ -40,35 +38,32 @@ def failed_state(old: DataFrame, resume: DataFrame, finished: DataFrame) -> Data
     )
 
 
-def digest_watermarks(log: DataFrame) -> DataFrame:
+def digest_watermarks(facts: DataFrame) -> DataFrame:
     """Digest rows of the finished scopes: the digest of their first page, null where it gave none.
 
-    A scope answered "not modified" at once has no page and leaves its watermark alone.
+    ``facts`` is the scope-facts table of a page log. A scope answered "not modified" at once has no
+    page and leaves its watermark alone.
     """
-    finished = page_ends(log).where("end_offset is not null").select("request_key", "attempt")
-    opened = log.where(F.col("status") != NOT_MODIFIED).join(finished, ["request_key", "attempt"], "left_semi")
-    first = opened.groupBy("request_key").agg(F.min_by("version_digest", "offset").alias("value"))
-    return first.select("request_key", F.lit("digest").alias("kind"), "value")
+    read = facts.where(F.col("end_offset").isNotNull() & F.col("opened"))
+    return read.select("request_key", F.lit("digest").alias("kind"), F.col("first_digest").alias("value"))
 
 
-def finished_scopes(log: DataFrame) -> DataFrame:
+def finished_scopes(facts: DataFrame) -> DataFrame:
     """Keys of the scopes whose latest attempt reached its end."""
-    return page_ends(log).where("end_offset is not null").select("request_key")
+    return facts.where("end_offset is not null").select("request_key")
 
 
-def resume_entries(log: DataFrame) -> DataFrame:
+def resume_entries(facts: DataFrame) -> DataFrame:
     """Resume rows of the unfinished scopes: next offset and the digest it is valid for.
 
     Scopes without a digest get none, since their position could never be verified.
     """
-    header = log.select("request_key", "attempt", "offset", "status", "version_digest", "n_values")
-    ends = page_ends(header)
-    pages = live_pages(header, ends.where("end_offset is null"))
-    reached = pages.groupBy("request_key").agg(
-        F.max(F.col("offset") + F.col("n_values")).cast("string").alias("resume_offset"),
-        F.min_by("version_digest", "offset").alias("resume_digest"),
-    ).where("resume_digest is not null")
-    return reached.unpivot("request_key", list(RESUMES), "kind", "value")
+    known = "end_offset is null and next_offset is not null and first_digest is not null"
+    entries = F.array(
+        F.struct(F.lit("resume_offset").alias("kind"), F.col("next_offset").cast("string").alias("value")),
+        F.struct(F.lit("resume_digest").alias("kind"), F.col("first_digest").alias("value")),
+    )
+    return facts.where(known).select("request_key", F.inline(entries))
 
 
 def resume_starts(saved: DataFrame, current: DataFrame) -> DataFrame:

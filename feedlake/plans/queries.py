@@ -230,8 +230,8 @@ def _saved_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermarks of the finished scopes and resume positions of the others, from the page log."""
-    log = landed(spark, _digest_log(spark, sf_dir), "log")
-    return state.digest_watermarks(log).unionByName(state.resume_entries(log))
+    facts = landed(spark, paging.scope_facts(_digest_log(spark, sf_dir)), "facts")
+    return state.digest_watermarks(facts).unionByName(state.resume_entries(facts))
 
 
 def commit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,8 +242,8 @@ def commit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def failed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = landed(spark, _digest_log(spark, sf_dir), "log")
-    return state.failed_state(_saved_state(spark, sf_dir), state.resume_entries(log), state.finished_scopes(log))
+    facts = landed(spark, paging.scope_facts(_digest_log(spark, sf_dir)), "facts")
+    return state.failed_state(_saved_state(spark, sf_dir), state.resume_entries(facts), state.finished_scopes(facts))
 
 
 def resume_position(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from ..errors import PASS_THROUGH, FeedError, ReadError
 from ..functions.dates import watermark_text
 from ..functions.keys import scope_key
 from ..functions.selector import conform, field_type, narrow_schema, render
-from ..operators.paging import scan_pages
+from ..operators.paging import scan_pages, scope_facts
 from ..operators.shape import SEPARATOR, explode_lists, leaf_paths
 from ..operators.state import (
     STATE_SCHEMA, committed_state, digest_watermarks, failed_state, finished_scopes, resume_entries,
@@ -31,7 +31,7 @@ from ..sources.state_store import StateStore
 from ..spec import ReadSettings, reader_kind, resolve
 
 
-def scan_entity(log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR) -> DataFrame:
+def scan_entity(log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR, facts: DataFrame | None = None) -> DataFrame:
     """The flat rows of an entity from its page log.
 
     Scan, selection and flattening are one step, so only the selected leaves are read from the files
@@ -40,7 +40,7 @@ def scan_entity(log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR) -> DataF
     record = log.schema["values"].dataType.elementType
     wanted = narrow_schema(record, spec.fields)
     leaves = leaf_paths(wanted, sep)
-    rows = scan_pages(log, leaves)
+    rows = scan_pages(log, leaves, facts=facts)
     flat = rows.select(*[
         conform(F.col(f"`{name}`"), field_type(record, path), field_type(wanted, path)).alias(name)
         for name, path in leaves.items()
@@ -91,17 +91,18 @@ class FeedReader:
         old = self.state
         scopes = self._scopes(spec, kind, old)
         log = self._land(scopes, run_id)
+        facts = self._facts(log, run_id)
 
         failure = self._failure(log, spec)
         if failure is not None:
-            self._store.publish(failed_state(old, resume_entries(log), finished_scopes(log)), run_id)
+            self._store.publish(failed_state(old, resume_entries(facts), finished_scopes(facts)), run_id)
         try:
-            self.output = self._shape(log, spec, run_id)
+            self.output = self._shape(log, facts, spec, run_id)
         except (PySparkException, ReadError) as exc:
             raise ReadError(f"landed records do not fit the schema of {spec.path!r}: {exc}", path=spec.path) from (failure or exc)
         if failure is not None:
             raise failure
-        self._store.publish(committed_state(old, self._watermarks(log, kind, scopes, started)), run_id)
+        self._store.publish(committed_state(old, self._watermarks(facts, kind, scopes, started)), run_id)
         return self.output
 
     def _scopes(self, spec: EntitySpec, kind: str, old: DataFrame) -> list[ScopeRequest]:
@@ -140,6 +141,12 @@ class FeedReader:
         read_pages(self._spark, self._fetch, scopes, max_tasks=self._max_tasks).write.parquet(folder)
         return self._spark.read.schema(RAW_PAGES).parquet(folder)
 
+    def _facts(self, log: DataFrame, run_id: str) -> DataFrame:
+        folder = f"{self._root}/facts/{run_id}"
+        facts = scope_facts(log)
+        facts.write.parquet(folder)
+        return self._spark.read.schema(facts.schema).parquet(folder)
+
     def _failure(self, log: DataFrame, spec: EntitySpec) -> FeedError | None:
         row = log.where("error_kind is not null").select("error_kind", "error", "request_key", "offset").first()
         if row is None:
@@ -148,14 +155,14 @@ class FeedReader:
         details = {"path": spec.path, "entity": self._settings.entity, "offset": row["offset"]}
         return error(row["error"], **details)
 
-    def _shape(self, log: DataFrame, spec: EntitySpec, run_id: str) -> DataFrame:
+    def _shape(self, log: DataFrame, facts: DataFrame, spec: EntitySpec, run_id: str) -> DataFrame:
         record = narrow_schema(spec.record_schema(), spec.fields)
-        flat = scan_entity(decode_pages(log, record), spec, self._settings.sep)
+        flat = scan_entity(decode_pages(log, record), spec, self._settings.sep, facts)
         folder = f"{self._root}/output/{run_id}"
         flat.write.parquet(folder)
         return self._spark.read.schema(flat.schema).parquet(folder)
 
-    def _watermarks(self, log: DataFrame, kind: str, scopes: list[ScopeRequest], started: str) -> DataFrame:
+    def _watermarks(self, facts: DataFrame, kind: str, scopes: list[ScopeRequest], started: str) -> DataFrame:
         if kind != "changed_since":
-            return digest_watermarks(log)
+            return digest_watermarks(facts)
         return self._spark.createDataFrame([(s.request_key, "changed_since", started) for s in scopes], STATE_SCHEMA)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from ..operators.state import STATE_SCHEMA
 
 
+_POINTER = "run_id string, seq long"
+
+
 class StateStore:
     """Reads the last published state, and publishes new versions.
 
@@ -22,40 +25,27 @@ class StateStore:
 
     def load(self) -> DataFrame:
         """The state in force: empty before the first commit, which means a full load."""
-        run_id = self._published()
+        run_id, _ = self._published()
         if run_id is None:
             return self._spark.createDataFrame([], STATE_SCHEMA)
         return self._spark.read.schema(STATE_SCHEMA).parquet(self._version(run_id))
 
     def publish(self, state: DataFrame, run_id: str) -> None:
-        """Make ``state`` the state in force."""
+        """Make ``state`` the state in force. One writer at a time."""
         state.write.mode("overwrite").parquet(self._version(run_id))
-        pointer = self._spark.range(1).select(
-            F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"),
-            F.lit(self._sequence() + 1).cast("long").alias("seq"),
-        )
-        pointer.coalesce(1).write.mode("append").parquet(f"{self._root}/published")
+        _, seq = self._published()
+        pointer = self._spark.createDataFrame([(run_id, seq + 1)], _POINTER).coalesce(1)
+        pointer.write.mode("append").parquet(f"{self._root}/published")
 
     def _version(self, run_id: str) -> str:
         return f"{self._root}/versions/{run_id}"
 
-    def _pointers(self) -> DataFrame | None:
+    def _published(self) -> tuple[str | None, int]:
         try:
-            return self._spark.read.schema("run_id string, published_at timestamp, seq long").parquet(f"{self._root}/published")
+            pointers = self._spark.read.schema(_POINTER).parquet(f"{self._root}/published")
         except AnalysisException as exc:
             if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None  # nothing published yet
-
-    def _last(self) -> tuple[str, int] | None:
-        pointers = self._pointers()
-        row = pointers.orderBy(F.desc("seq")).select("run_id", "seq").first() if pointers is not None else None
-        return (row["run_id"], row["seq"]) if row else None
-
-    def _published(self) -> str | None:
-        last = self._last()
-        return last[0] if last else None
-
-    def _sequence(self) -> int:
-        last = self._last()
-        return last[1] if last else 0
+            return None, 0  # nothing published yet
+        last = pointers.agg(F.max_by("run_id", "seq"), F.max("seq")).first()
+        return (last[0], last[1]) if last[1] is not None else (None, 0)

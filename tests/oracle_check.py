@@ -28,9 +28,8 @@ def canonical(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-def differences(spark, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str | None:
-    """None if the query and its SQL agree, else what differs."""
-    df = queries()[name](spark, sf_dir)
+def differences(df, con: duckdb.DuckDBPyConnection, name: str) -> str | None:
+    """None if a query's result and its SQL agree, else what differs."""
     got_rows = [tuple(row) for row in df.collect()]
     result = con.execute(oracle_sql()[name])
     want_columns = [d[0] for d in result.description]
@@ -55,7 +54,7 @@ if __name__ == "__main__":
     for name in names:
         begun = time.time()
         try:
-            verdict = differences(spark, con, name, sf_dir) or "ok"
+            verdict = differences(queries()[name](spark, sf_dir), con, name) or "ok"
         except Exception as exc:
             verdict = f"FAILED {type(exc).__name__}: {str(exc)[:600]}"
         print(f"{name:32s} {time.time() - begun:6.2f}s {verdict}", flush=True)

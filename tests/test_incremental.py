@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlake.errors import ReadError
-from feedlake.operators import incremental, state
+from feedlake.operators import incremental, paging, state
 from feedlake.sources.state_store import StateStore
 
 from .conftest import rows
@@ -92,11 +92,12 @@ def test_state_from_a_page_log(spark):
         ("fail", 1, 0, 0, None, None),
         ("late304", 1, 0, 200, "d5", 2), ("late304", 1, 2, 304, None, 0),
     ], HEADER)
-    assert rows(state.digest_watermarks(log)) == sorted([
+    facts = paging.scope_facts(log)
+    assert rows(state.digest_watermarks(facts)) == sorted([
         ("done", "digest", "d1"), ("late304", "digest", "d5"), ("null", "digest", None), ("void", "digest", "d9"),
     ], key=repr)
-    assert rows(state.finished_scopes(log)) == [("done",), ("late304",), ("null",), ("same",), ("void",)]
-    assert rows(state.resume_entries(log)) == [
+    assert rows(state.finished_scopes(facts)) == [("done",), ("late304",), ("null",), ("same",), ("void",)]
+    assert rows(state.resume_entries(facts)) == [
         ("open", "resume_digest", "d3"), ("open", "resume_offset", "5"),
         ("restart", "resume_digest", "new"), ("restart", "resume_offset", "4"),
     ]

@@ -117,7 +117,7 @@ def test_cut_pages_property(spark):
         df = spark.createDataFrame(data, "s string, id long, v string")
         log = paging.cut_pages(df, "s", "id", page_size, key_span)
         check_log(log, data, page_size)
-        firsts = log.where("n_values > 0").select("request_key", "offset", F.col("values")[0]["id"].alias("id")).collect()
+        firsts = log.where("n_values > 0").select("request_key", "offset", F.get("values", F.lit(0))["id"].alias("id")).collect()
         ordered = sorted(firsts, key=lambda r: (r["request_key"], r["offset"]))
         assert all(a["id"] < b["id"] for a, b in zip(ordered, ordered[1:]) if a["request_key"] == b["request_key"])
 
@@ -141,8 +141,8 @@ def test_cut_pages_needs_an_integral_key(spark):
         paging.cut_pages(spark.createDataFrame([], "s string, id string"), "s", "id")
 
 
-@pytest.mark.parametrize("seek_beyond", [0, 5, 10**6])
-@pytest.mark.parametrize(("offset", "limit"), [(0, 3), (7, 10), (90, 30), (99, 1), (100, 5), (400, 5)])
+@pytest.mark.parametrize("seek_beyond", [0, 10**6])
+@pytest.mark.parametrize(("offset", "limit"), [(0, 3), (7, 60), (90, 30), (100, 5)])
 def test_offset_page(spark, offset, limit, seek_beyond):
     ids = [i * i - 500 for i in range(100)]
     df = spark.createDataFrame([(i,) for i in ids], "id long")
@@ -153,7 +153,7 @@ def test_offset_page(spark, offset, limit, seek_beyond):
 def test_offset_page_with_repeats_and_nulls(spark):
     ids = [1, 1, 1, 2, 2, 5000, 5000, 10**12]
     df = spark.createDataFrame([(i,) for i in ids], "id long")
-    for offset in range(8):
+    for offset in (0, 2, 4, 7):
         assert [r["id"] for r in paging.offset_page(df, "id", offset, 2, 0).collect()] == ids[offset:offset + 2]
     nulls = spark.createDataFrame([(None,), (3,), (None,)], "id long")
     assert [r["id"] for r in paging.offset_page(nulls, "id", 1, 2, 0).collect()] == [None, 3]

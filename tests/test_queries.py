@@ -23,15 +23,10 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", queries())
 def test_query_matches_its_sql(spark, con, name):
-    assert differences(spark, con, name, SF) is None
-
-
-def test_no_query_crosses_tables(spark):
-    for name in queries():
-        if name in ("changed_since_stream", "entity_page_source"):
-            continue
-        plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    df = queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert differences(df, con, name) is None
 
 
 def test_entry(spark):
