@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ class FeedReader:
         root: str,
         settings: ReadSettings,
         extra_entities: dict[str, dict[str, Any]] | None = None,
-        max_tasks: int = 256,
+        max_tasks: int | None = None,
     ) -> None:
         self._spark = spark
         self._fetch = fetch
@@ -98,8 +99,11 @@ class FeedReader:
             self._store.publish(failed_state(old, resume_entries(facts), finished_scopes(facts)), run_id)
         try:
             self.output = self._shape(log, facts, spec, run_id)
-        except (PySparkException, ReadError) as exc:
-            raise ReadError(f"landed records do not fit the schema of {spec.path!r}: {exc}", path=spec.path) from (failure or exc)
+        except (PySparkException, Py4JJavaError, ReadError) as exc:
+            reason = str(exc).strip().splitlines()[0]
+            raise ReadError(f"the landed pages of {spec.path!r} could not be turned into rows: {reason}", path=spec.path) from (
+                failure or exc
+            )
         if failure is not None:
             raise failure
         self._store.publish(committed_state(old, self._watermarks(facts, kind, scopes, started)), run_id)

@@ -46,7 +46,7 @@ class _Scopes(InputPartition):
     scopes: Sequence[ScopeRequest]
 
 
-def page_source(name: str, fetch: Fetch, scopes: Sequence[ScopeRequest], max_tasks: int = 256) -> type[DataSource]:
+def page_source(name: str, fetch: Fetch, scopes: Sequence[ScopeRequest], max_tasks: int) -> type[DataSource]:
     """A data source class bound to ``fetch`` (shipped to the executors) and the scopes to read."""
     groups = [list(scopes[i::max_tasks]) for i in range(min(max_tasks, len(scopes)))]
 
@@ -73,9 +73,17 @@ def page_source(name: str, fetch: Fetch, scopes: Sequence[ScopeRequest], max_tas
 
 
 def read_pages(
-    spark: SparkSession, fetch: Fetch, scopes: Sequence[ScopeRequest], name: str = "feedlake_pages", max_tasks: int = 256
+    spark: SparkSession,
+    fetch: Fetch,
+    scopes: Sequence[ScopeRequest],
+    name: str = "feedlake_pages",
+    max_tasks: int | None = None,
 ) -> DataFrame:
-    """The raw page log of ``scopes``; every evaluation requests the pages again, so land it once."""
+    """The raw page log of ``scopes``; every evaluation requests the pages again, so land it once.
+
+    ``max_tasks`` bounds the requests in flight; by default four per core.
+    """
+    max_tasks = max_tasks or 4 * spark.sparkContext.defaultParallelism
     ship_package(spark)
     spark.dataSource.register(page_source(name, fetch, scopes, max_tasks))
     return spark.read.format(name).load()

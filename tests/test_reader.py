@@ -281,7 +281,7 @@ def test_exploding_entity(spark, tmp_path):
 @pytest.mark.parametrize("value", [0, "not-a-list"])
 def test_bad_records_commit_nothing(spark, tmp_path, value):
     reader, _ = bank(spark, tmp_path, {"id": 1, "isInactive": False, "bankAccountPresentation": value})
-    with pytest.raises(ReadError, match="do not fit"):
+    with pytest.raises(ReadError, match="could not be turned into rows"):
         reader.read()
     assert rows(reader.state) == []
 
