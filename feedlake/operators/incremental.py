@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from ..errors import ReadError
 from ..functions.dates import watermark_moment
-from ..session import sized
+from ..session import landed, sized
+
+IN_LIST_ROWS = 500
 
 # Request parameters that the readers generate themselves.
 RESERVED_PARAMS = ("from", "count", "fields", "changedSince", "dateFrom", "dateTo", "sorting")
@@ -67,6 +69,11 @@ def changed_scopes(current: DataFrame, saved: DataFrame, scope: Sequence[str]) -
 def conditional_scan(df: DataFrame, changed: DataFrame, scope: Sequence[str]) -> DataFrame:
     """All rows of the changed scopes. A changed scope comes back whole, never as a difference.
 
-    With the data partitioned on the scope this prunes partitions at run time.
+    A short list of scopes becomes an IN filter, which prunes partitions and row groups and needs no
+    join; a longer one is landed and joined, broadcast if its size allows.
     """
-    return df.join(sized(changed.select(*scope)), list(scope), "left_semi")
+    if len(scope) == 1:
+        keys = changed.select(*scope).limit(IN_LIST_ROWS + 1).collect()
+        if len(keys) <= IN_LIST_ROWS:
+            return df.where(F.col(scope[0]).isin([key[0] for key in keys]))
+    return df.join(sized(landed(df.sparkSession, changed.select(*scope), "changed")), list(scope), "left_semi")

@@ -110,6 +110,7 @@ ORACLE: dict[str, str] = {
         true as complete, true as contiguous from pages group by 1""",
     "sorted_page": f"select {ORDER_FIELDS} from orders order by o_orderkey limit 500 offset 1000",
     "deep_page": f"select {ORDER_FIELDS} from orders order by o_orderkey limit 250 offset 1200",
+    "json_pages": f"select {ORDER_FIELDS} from orders",
     "entity_page_source": f"select {ORDER_FIELDS} from orders",
     "changed_since": f"select {EVENT_FIELDS} from events where ts >= {WATERMARK}",
     "changed_since_first_run": f"select {EVENT_FIELDS} from events",

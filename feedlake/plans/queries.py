@@ -20,6 +20,7 @@ from ..functions.keys import window_scope_key
 from ..functions.selector import narrow_schema, project
 from ..operators import incremental, paging, shape, state, windows
 from ..session import landed, scratch_dir, sized
+from ..sources.page_log import read_page_log
 from ..sources.page_source import decode_pages, read_pages
 from ..sources.replay import ReplayFetch, land_pages, replay_scopes
 from ..streaming.changed_since import stream_changes
@@ -103,6 +104,15 @@ def entity_page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.scan_pages(decode_pages(raw, record), ORDER_LEAVES)
 
 
+def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as JSON lines, of which only the wanted fields are parsed."""
+    log = paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN)
+    folder = scratch_dir(spark, "json-pages")
+    log.select("request_key", "offset", "values").write.json(folder)
+    record = narrow_schema(log.schema["values"].dataType.elementType, ORDER_FIELDS)
+    return paging.scan_pages(read_page_log(spark, folder, record, "json"), ORDER_LEAVES)
+
+
 # Changed-since reads
 
 
@@ -202,7 +212,7 @@ def changed_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conditional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
-    changed = landed(spark, changed_scopes(spark, sf_dir), "changed")
+    changed = changed_scopes(spark, sf_dir)
     return incremental.conditional_scan(orders, changed, ["request_key"]).select("request_key", *ORDER_FIELDS)
 
 
@@ -414,7 +424,7 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        page_scan, page_index, scope_report, sorted_page, deep_page, entity_page_source,
+        page_scan, page_index, scope_report, sorted_page, deep_page, json_pages, entity_page_source,
         changed_since, changed_since_first_run, changed_since_two_runs, changed_since_stream, watermark_format, param_filter,
         month_windows, relative_windows, windowed_scan, year_shift, scope_key,
         scope_digest, changed_scopes, conditional_scan,

@@ -56,6 +56,23 @@ def test_changed_scopes_and_conditional_scan(spark):
     assert rows(incremental.conditional_scan(data, changed, ["k"])) == [("moved", 2), ("moved", 2), ("new", 3), ("null", 4)]
 
 
+def test_conditional_scan_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "id % 10 as k").write.partitionBy("k").parquet(path)
+    changed = spark.createDataFrame([(3,), (7,)], "k long")
+    got = incremental.conditional_scan(spark.read.parquet(path), changed, ["k"])
+    assert got.count() == 20
+    assert "PartitionFilters: [cast(k" in got._jdf.queryExecution().executedPlan().toString().replace("isnotnull", "")\
+        or "PartitionFilters: [k" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_conditional_scan_of_many_scopes_joins(spark):
+    n = incremental.IN_LIST_ROWS + 10
+    data = spark.range(2 * n).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    got = incremental.conditional_scan(data, spark.range(n).withColumnRenamed("id", "k"), ["k"])
+    assert got.count() == n
+
+
 def table(spark, *entries):
     return spark.createDataFrame(list(entries), STATE)
 

@@ -2,9 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake.operators import paging
+from feedlake.sources.page_log import read_page_log
 from feedlake.sources.page_source import decode_pages, read_pages
 from feedlake.sources.replay import ReplayFetch, land_pages, replay_scopes
 from feedlake.streaming.changed_since import stream_changes
@@ -39,6 +42,23 @@ def test_stream_without_a_first_watermark_reads_everything(spark, tmp_path):
     assert spark.read.parquet(out).count() == 1
 
 
+def test_read_page_log_narrow_and_filled(spark, tmp_path):
+    lines = [
+        '{"request_key":"k","offset":0,"values":[{"id":1,"name":"a","account":{"id":5,"x":1}},{"id":2}]}',
+        '{"request_key":"k","offset":2,"status":304}',
+        '{"request_key":"bad","offset":0,"values":7}',
+    ]
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "pages.json").write_text("\n".join(lines[:2]))
+    record = T.StructType.fromDDL("id long, account struct<id long>")
+    log = read_page_log(spark, str(tmp_path / "log"), record, "json")
+    assert rows(log, "attempt", "offset", "status", "n_values") == [(1, 0, 200, 2), (1, 2, 304, 0)]
+    assert rows(paging.scan_pages(log, {"id": ("id",), "account_id": ("account", "id")})) == [(1, 5), (2, None)]
+    (tmp_path / "log" / "bad.json").write_text(lines[2])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_page_log(spark, str(tmp_path / "log"), record, "json").collect()
+
+
 def test_replay_gives_back_the_landed_rows(spark, tmp_path):
     df = spark.range(500).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("s"), "id", F.col("id").cast("string").alias("v"))
     log = spark.createDataFrame(paging.cut_pages(df, "s", "id", 7, 60).collect(), paging.cut_pages(df, "s", "id", 7, 60).schema)
