@@ -1,0 +1 @@
+"""Incremental reads of paged, nested records on PySpark."""

@@ -149,8 +149,9 @@ def cut_pages(
     work, and every span ends with a short page. The page offset is the row count of the earlier
     spans plus the place inside the span. One shuffle of the rows: ranking, page forming and the join
     of the span offsets share its partitioning. ``key`` is the stable sort field: an integral id,
-    normally unique. A span with more rows than keys (a repeated key) is split by row hash. The row
-    counts per span are landed first, since the split, the offsets and the closing pages need them.
+    normally unique. A span with more rows than keys (a repeated key) is dealt out over parts, in key
+    order within each part. The row counts per span are landed first, since the split, the offsets and
+    the closing pages need them.
     """
     if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         raise ReadError(f"pages are cut along an integral id, but {key!r} is {df.schema[key].dataType.simpleString()}")
@@ -162,7 +163,7 @@ def cut_pages(
     bases = running_total(sizes, [scope], "_span", "_n", "_base").select(*grain, "_base")
     full = sizes.where(F.col("_n") > key_span)
     if not full.isEmpty():
-        spans, bases = _split_spans(spans, bases, full, grain, record, key_span)
+        spans, bases = _split_spans(spans, bases, full, grain, key_span)
         grain = [*grain, "_part"]
 
     rank = F.row_number().over(Window.partitionBy(*grain).orderBy(key)) - 1
@@ -186,12 +187,18 @@ def cut_pages(
 
 
 def _split_spans(
-    spans: DataFrame, bases: DataFrame, full: DataFrame, grain: list[str], record: list[str], key_span: int
+    spans: DataFrame, bases: DataFrame, full: DataFrame, grain: list[str], key_span: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Spread the rows of over-full spans over parts by row hash, and give every part its offset."""
-    pieces = sized(full.select(*grain, F.ceil(F.col("_n") / key_span).alias("_pieces")))
-    part = F.coalesce(F.pmod(F.xxhash64(*record), F.col("_pieces")), F.lit(0)).cast("long")
-    split = spans.join(pieces, grain, "left").withColumn("_part", part).drop("_pieces")
+    """Deal the rows of over-full spans out over parts, and give every part its offset.
+
+    The dealt rows are landed, so that counting and page forming see the same parts; dealing by row
+    number also spreads exact copies of one row.
+    """
+    pieces = sized(landed(spans.sparkSession, full.select(*grain, F.ceil(F.col("_n") / key_span).alias("_pieces")), "full-spans"))
+    part = F.pmod(F.monotonically_increasing_id(), F.col("_pieces")).alias("_part")
+    dealt = landed(spans.sparkSession, spans.join(pieces, grain).select(*spans.columns, part), "split-spans")
+    rest = spans.join(pieces, grain, "left_anti").withColumn("_part", F.lit(0).cast("long"))
+    split = rest.unionByName(dealt)
     sizes = split.groupBy(*grain, "_part").agg(F.count(F.lit(1)).alias("_n"))
     inner = running_total(sizes, grain, "_part", "_n", "_inner")
     return split, inner.join(bases, grain).select(*grain, "_part", (F.col("_base") + F.col("_inner")).alias("_base"))

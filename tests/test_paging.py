@@ -123,7 +123,7 @@ def test_cut_pages_property(spark):
 
 
 def test_cut_pages_with_a_repeated_key_and_missing_keys(spark):
-    data = [("a", 5, f"v{i}") for i in range(60)] + [("a", None, f"n{i}") for i in range(30)] + [("b", 1, "x")]
+    data = [("a", 5, f"v{i}") for i in range(60)] + [("a", 77, "copy")] * 40 + [("a", None, f"n{i}") for i in range(30)] + [("b", 1, "x")]
     df = spark.createDataFrame(data, "s string, id long, v string")
     check_log(paging.cut_pages(df, "s", "id", 6, 10), data, 6)
 
