@@ -46,6 +46,27 @@ class _Scopes(InputPartition):
     scopes: Sequence[ScopeRequest]
 
 
+class PageReader(DataSourceReader):
+    """Reads groups of scopes, one group a task. Tasks receive their own group only, not the whole list."""
+
+    def __init__(self, fetch: Fetch, groups: Sequence[Sequence[ScopeRequest]]) -> None:
+        self._fetch = fetch
+        self._groups = groups
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Scopes(group) for group in self._groups] or [_Scopes([])]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for scope in partition.scopes:
+            yield from read_scope(self._fetch, scope)
+
+    def __getstate__(self) -> Fetch:
+        return self._fetch
+
+    def __setstate__(self, fetch: Fetch) -> None:
+        self.__init__(fetch, [])
+
+
 def page_source(name: str, fetch: Fetch, scopes: Sequence[ScopeRequest], max_tasks: int) -> type[DataSource]:
     """A data source class bound to ``fetch`` (shipped to the executors) and the scopes to read."""
     groups = [list(scopes[i::max_tasks]) for i in range(min(max_tasks, len(scopes)))]
@@ -59,15 +80,7 @@ def page_source(name: str, fetch: Fetch, scopes: Sequence[ScopeRequest], max_tas
             return RAW_PAGES
 
         def reader(self, schema: T.StructType) -> DataSourceReader:
-            return PageReader()
-
-    class PageReader(DataSourceReader):
-        def partitions(self) -> list[InputPartition]:
-            return [_Scopes(group) for group in groups] or [_Scopes([])]
-
-        def read(self, partition: InputPartition) -> Iterator[tuple]:
-            for scope in partition.scopes:
-                yield from read_scope(fetch, scope)
+            return PageReader(fetch, groups)
 
     return PageSource
 

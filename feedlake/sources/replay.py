@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.paging import PAGE_SIZE
 from .requests import PageRequest, PageResponse, ScopeRequest
 
 
@@ -62,13 +63,16 @@ class ReplayFetch:
         self.__init__(root)
 
 
-def replay_scopes(log: DataFrame, rows_per_part: int = 1_000_000) -> list[ScopeRequest]:
+def replay_scopes(log: DataFrame, parts: int = 10_000, least_rows: int = 1_000_000) -> list[ScopeRequest]:
     """Requests that cover a landed page log, large scopes split at known page boundaries.
 
-    Brings one row per part to the driver, that is one per ``rows_per_part`` landed rows and scope.
+    A part holds at least ``least_rows`` rows, so that no more than about ``parts`` requests besides
+    one per scope come to the driver.
     """
-    part = F.floor(F.col("offset") / rows_per_part)
-    bounds = log.groupBy("request_key", part.alias("part")).agg(F.min("offset").alias("start"))
+    rows = log.agg(F.sum("n_values")).first()[0] or 0
+    width = max(least_rows, -(-rows // parts))
+    part = F.expr(f"offset div {width}").alias("part")
+    bounds = log.groupBy("request_key", part).agg(F.min("offset").alias("start"))
     starts: dict[str, list[int]] = {}
     for row in bounds.collect():
         starts.setdefault(row["request_key"], []).append(row["start"])
@@ -76,5 +80,5 @@ def replay_scopes(log: DataFrame, rows_per_part: int = 1_000_000) -> list[ScopeR
     for key, offsets in sorted(starts.items()):
         offsets.sort()
         for start, stop in zip(offsets, [*offsets[1:], None], strict=True):
-            requests.append(ScopeRequest(key, key, {}, 5000, start_offset=start, stop_offset=stop))
+            requests.append(ScopeRequest(key, key, {}, PAGE_SIZE, start_offset=start, stop_offset=stop))
     return requests

@@ -1,12 +1,14 @@
 """The changed-since stream and the replay of landed pages."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.operators import paging
+from feedlake.session import scratch_dir
 from feedlake.sources.page_log import read_page_log
 from feedlake.sources.page_source import decode_pages, read_pages
 from feedlake.sources.replay import ReplayFetch, land_pages, replay_scopes
@@ -64,8 +66,18 @@ def test_replay_gives_back_the_landed_rows(spark, tmp_path):
     log = spark.createDataFrame(paging.cut_pages(df, "s", "id", 7, 60).collect(), paging.cut_pages(df, "s", "id", 7, 60).schema)
     root = str(tmp_path / "pages")
     land_pages(log, root)
-    scopes = replay_scopes(log, rows_per_part=100)
+    scopes = replay_scopes(log, least_rows=100)
     assert len(scopes) > 4  # large scopes are split at page boundaries
     raw = read_pages(spark, ReplayFetch(root), scopes, "replay_test", max_tasks=3)
     got = paging.scan_pages(decode_pages(raw, log.schema["values"].dataType.elementType))
     assert rows(got.select("request_key", "id", "v")) == rows(df)
+
+
+def test_a_cluster_session_must_name_its_scratch_folder():
+    local = SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "local[2]"}.get))
+    cluster = SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "yarn"}.get))
+    named = SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:/x/"}.get))
+    assert scratch_dir(local, "t") != scratch_dir(local, "t")
+    assert scratch_dir(named, "t").startswith("hdfs:/x/t-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(cluster, "t")
