@@ -37,9 +37,14 @@ def combined(hashes: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def shingle_set(text: str | None, cache: WordHashes, size: int = 5) -> np.ndarray:
-    """The distinct shingles of a whole text, ascending; a shorter text is one shingle, one without words has none."""
+def shingle_list(text: str | None, cache: WordHashes, size: int = 5) -> np.ndarray:
+    """The shingles of a whole text in its order; a shorter text is one shingle, one without words has none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # A-Z only; splits at six characters
     if not words:
         return np.zeros(0, np.uint64)
-    return np.unique(combined(cache.of(words), min(size, len(words))))
+    return combined(cache.of(words), min(size, len(words)))
+
+
+def shingle_set(text: str | None, cache: WordHashes, size: int = 5) -> np.ndarray:
+    """The distinct shingles of a whole text, ascending."""
+    return np.unique(shingle_list(text, cache, size))
