@@ -48,3 +48,11 @@ def kind_of(exc: BaseException) -> str:
         if isinstance(exc, cls):
             return kind
     return "connection" if isinstance(exc, ConnectionError) else "read"
+
+
+def check_status(status: int) -> None:
+    """Raise for an HTTP status that carries no page: all but 200 to 299 and 304 (not modified)."""
+    if 200 <= status < 300 or status == 304:
+        return
+    kinds = {401: AuthenticationError, 403: AuthorizationError}
+    raise kinds.get(status, SourceConnectionError if status >= 500 else ReadError)(f"the source answered with status {status}", status=status)

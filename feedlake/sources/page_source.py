@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..errors import kind_of
+from ..errors import check_status, kind_of
 from ..operators.paging import NOT_MODIFIED
 from ..session import ship_package
 from .requests import Fetch, PageRequest, ScopeRequest
@@ -114,6 +114,7 @@ def read_scope(fetch: Fetch, scope: ScopeRequest) -> Iterator[tuple]:
         now = dt.datetime.now(dt.timezone.utc)
         try:
             answer = fetch(PageRequest(scope.path, {**scope.params, "from": offset, "count": scope.count}, headers))
+            check_status(answer.status)
             values = answer.body.get("values") or []
             digest = answer.body.get("versionDigest") if scope.conditional else None
             body = json.dumps(values)

@@ -305,3 +305,19 @@ def test_refused_settings_send_no_request(spark, tmp_path):
 def test_separator(spark, tmp_path):
     reader, _ = make(spark, tmp_path, [answer([1], departmentManager={"id": 7}), answer()], sep="__")
     assert "departmentManager__id" in reader.read().columns
+
+
+@pytest.mark.parametrize("status, error", [(401, AuthenticationError), (403, AuthorizationError), (404, ReadError), (503, SourceConnectionError)])
+def test_error_status_fails_the_read(spark, tmp_path, status, error):
+    reader, _ = make(spark, tmp_path, [PageResponse(status, {"message": "sorry"})], [(KEY, "digest", "kept")])
+    with pytest.raises(error, match=str(status)):
+        reader.read()
+    assert (KEY, "digest", "kept") in rows(reader.state)
+
+
+def test_state_stays_when_rows_of_a_failed_read_cannot_be_shaped(spark, tmp_path):
+    before = [(KEY, "digest", "kept")]
+    reader, _ = make(spark, tmp_path, [answer([1], departmentManager=[5]), RuntimeError("late")], before, count=1)
+    with pytest.raises(ReadError, match="could not be turned into rows"):
+        reader.read()
+    assert rows(reader.state) == before
