@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.common import map_lists, map_whole, training_ids
 
-#: Labelled documents per class whose lines the field is fitted on, at most, and lines of each of them.
-TRAINING_ROWS, TRAINING_LINES = 1500, 400
+#: Labelled documents per class whose lines the field is fitted on, at most; longer ones are cut into sequences of so many lines.
+TRAINING_ROWS, SEQUENCE_LINES = 1500, 400
 STEPS, RATE, RIDGE = 150, 0.3, 1e-3
 #: A text is kept if content lines hold this share of its words.
 CONTENT_SHARE = 0.5
@@ -146,8 +146,13 @@ def fit_lines(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Fie
 
     def make():
         def step(rows):
-            lines = [line_statistics(_split(text)[:TRAINING_LINES]).astype(np.float32).tobytes() for text in rows["text"]]
-            return {"label": rows["label"], "x": lines}
+            out = {"label": [], "x": []}
+            for label, text in zip(rows["label"], rows["text"]):
+                x = line_statistics(_split(text)).astype(np.float32)
+                for at in range(0, len(x), SEQUENCE_LINES):
+                    out["label"].append(label)
+                    out["x"].append(x[at : at + SEQUENCE_LINES].tobytes())
+            return out
 
         return step
 

@@ -15,8 +15,10 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-#: A compressed stream is opened up to this size, so that a small one cannot fill a task's memory.
-MAX_INFLATED = 1 << 24
+#: A compressed stream is scanned whole, in windows of about so many bytes, so that a small one cannot fill a task's memory.
+WINDOW = 1 << 20
 
 Span = tuple[int, str, int]  # start, kind, end
 
@@ -108,14 +110,48 @@ def _escape_layer(layer: Layer) -> Iterator[Layer]:
         yield _substituted(layer, found)
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """The content of a gzip or zlib stream, None if it is neither."""
-    if not (data[:2] == b"\x1f\x8b" or data[:1] == b"\x78"):
-        return None
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The content of gzip members or a zlib stream, in parts of at most WINDOW bytes."""
+    stream = zlib.decompressobj(47)
+    for chunk in chunks:
+        while chunk:
+            yield stream.decompress(chunk, WINDOW)
+            chunk = stream.unused_data or stream.unconsumed_tail
+            if stream.eof and chunk:
+                stream = zlib.decompressobj(47)
+    yield stream.flush()
+
+
+def _unpacked(data: bytes) -> Iterator[bytes] | None:
+    """The content of a compressed stream, however often it was compressed; None if it is not compressed."""
+    chunks, head, opened = iter([data]), data, False
+    while head[:2] == b"\x1f\x8b" or head[:1] == b"\x78":
+        try:
+            inner = _inflated(chunks if not opened else chain([head], chunks))
+            first = next((part for part in inner if part), b"")
+        except zlib.error:
+            break
+        chunks, head, opened = inner, first, True
+    return chain([head], chunks) if opened else None
+
+
+def _line_windows(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """The bytes of a stream in windows that end with a line, as no pattern or code reaches across lines.
+
+    A damaged stream ends where it is damaged. Only a line longer than WINDOW makes a longer window.
+    """
+    held = bytearray()
     try:
-        return zlib.decompressobj(47).decompress(data, MAX_INFLATED)
+        for part in parts:
+            held += part
+            cut = held.rfind(b"\n") + 1 if len(held) >= WINDOW else 0
+            if cut:
+                yield bytes(held[:cut])
+                del held[:cut]
     except zlib.error:
-        return None
+        pass
+    if held:
+        yield bytes(held)
 
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
@@ -127,16 +163,33 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
             data = base64.b64decode(run + "=" * (-len(run) % 4))
         except (binascii.Error, ValueError):
             continue
-        inflated = _inflated(data)
-        try:
-            text = (data if inflated is None else inflated).decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-        if text and (inflated is not None or text.isprintable() or all(c.isprintable() or c in "\t\r\n" for c in text)):
-            low, high = layer.span(m.start(), m.end())
+        low, high = layer.span(m.start(), m.end())
+        parts = _unpacked(data)
+        if parts is not None:
+            texts = (window.decode("utf-8", "replace") for window in _line_windows(parts))
+        else:
+            try:
+                text = data.decode("utf-8")
+            except UnicodeDecodeError:
+                continue
+            texts = [text] if text and all(c.isprintable() or c in "\t\r\n" for c in text) else []
+        for text in texts:
             yield Layer(text, [low] * len(text), [high] * len(text))
 
 
+def _opened(layer: Layer) -> Iterator[Layer]:
+    """The layers that are encoded in one, each made when it is asked for."""
+    if "%" in layer.text:
+        yield from _url_layer(layer)
+    if "\\" in layer.text:
+        yield from _escape_layer(layer)
+    yield from _base64_layers(layer)
+
+
+def _digest(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
 def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans of a text, and the further spans of the layers encoded in it, both as (start, kind, end).
 
@@ -146,23 +199,18 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     order = {kind: k for k, kind in enumerate(KINDS)}
     base = {(start, kind, end) for kind, start, end in matches(text)}
     more: set[Span] = set()
-    work, seen = [Layer(text)], {text}
+    seen = {_digest(text)}
+    work = [_opened(Layer(text))]  # layers are opened depth first, so one window of a stream is held at a time
     while work:
-        layer = work.pop()
-        if layer.starts is not None:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif (digest := _digest(layer.text)) not in seen:
+            seen.add(digest)
             for kind, start, end in matches(layer.text):
                 low, high = layer.span(start, end)
                 more.add((low, kind, high))
-        opened: list[Layer] = []
-        if "%" in layer.text:
-            opened += _url_layer(layer)
-        if "\\" in layer.text:
-            opened += _escape_layer(layer)
-        opened += _base64_layers(layer)
-        for new in opened:
-            if new.text not in seen:
-                seen.add(new.text)
-                work.append(new)
+            work.append(_opened(layer))
     key = lambda span: (span[0], order[span[1]], span[2])
     return sorted(base, key=key), sorted(more - base, key=key)
 

@@ -293,6 +293,18 @@ def test_base_secrets_equal_brute_force(spark, texts):
         assert set(filter(None, base)) <= set(got[k]["spans"].split(","))
 
 
+def test_secrets_behind_long_and_twice_compressed_streams():
+    import gzip
+
+    secret = b'password = "Kx81mmQpZ04abcd"'
+    far = base64.b64encode(gzip.compress(gzip.compress(b"plain line\n" * 2_000_000 + secret))).decode()
+    assert find_secrets(f"x {far} y") == ([], [(2, "assign", 2 + len(far))])
+    members = base64.b64encode(gzip.compress(b"plain\n") + gzip.compress(secret)).decode()
+    assert find_secrets(members) == ([], [(0, "assign", len(members))])
+    cut = base64.b64encode(gzip.compress(secret * 3)[:-9]).decode().rstrip("=")  # damaged at its end
+    assert find_secrets(cut)[1] == [(0, "assign", len(cut))]
+
+
 def test_secrets_in_nested_layers():
     from base64 import b64encode
     from gzip import compress
