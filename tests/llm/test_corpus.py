@@ -1,5 +1,6 @@
 """The corpus operators against brute force, round trips and odd tables."""
 
+import base64
 import re
 from collections import Counter, defaultdict
 from zlib import crc32
