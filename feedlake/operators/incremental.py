@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..errors import ReadError
 from ..functions.dates import watermark_moment
-from ..session import landed, sized
+from ..session import landed, null_safe, sized
 
 IN_LIST_ROWS = 500
 
@@ -39,10 +39,12 @@ def changed_since(df: DataFrame, column: str, watermark: str | None, before: str
 
     The bound is a literal of the column's own type, so that it reaches the scan uncast.
     """
-    dtype = df.schema[column].dataType
+    dtype, moment = df.schema[column].dataType, F.col(column)
+    if isinstance(dtype, T.StringType):  # text is compared as the instant that it names, whatever its fractions and zone
+        dtype, moment = T.TimestampType(), moment.cast("timestamp")
     if watermark is not None:
-        df = df.where(F.col(column) >= _moment(watermark, dtype))
-    return df if before is None else df.where(F.col(column) < _moment(before, dtype))
+        df = df.where(moment >= _moment(watermark, dtype))
+    return df if before is None else df.where(moment < _moment(before, dtype))
 
 
 def _moment(watermark: str, dtype: T.DataType) -> Column:
@@ -51,8 +53,6 @@ def _moment(watermark: str, dtype: T.DataType) -> Column:
         return F.expr(f"TIMESTAMP_NTZ'{text}'")
     if isinstance(dtype, T.TimestampType):
         return F.expr(f"TIMESTAMP'{text} UTC'")
-    if isinstance(dtype, T.StringType):  # landed text in watermark format sorts like time
-        return F.lit(watermark)
     raise ReadError(f"a changed-since scan needs a timestamp column, not {dtype.simpleString()}")
 
 
@@ -63,17 +63,21 @@ def changed_scopes(current: DataFrame, saved: DataFrame, scope: Sequence[str]) -
     """
     old = saved.select(*scope, F.col("digest").alias("saved_digest"))
     moved = F.col("digest").isNull() | F.col("saved_digest").isNull() | (F.col("digest") != F.col("saved_digest"))
-    return current.join(old, list(scope), "left").where(moved)
+    return null_safe(current, old, list(scope), "left").where(moved)
 
 
 def conditional_scan(df: DataFrame, changed: DataFrame, scope: Sequence[str]) -> DataFrame:
     """All rows of the changed scopes. A changed scope comes back whole, never as a difference.
 
-    A short list of scopes becomes an IN filter, which prunes partitions and row groups and needs no
-    join; a longer one is landed and joined, broadcast if its size allows.
+    A null scope is a scope.
+
+    A short list of scopes becomes an IN filter, which needs no join and, on a stored column, prunes partitions and row
+    groups; a longer one is joined, broadcast if its size allows.
     """
+    changed = landed(df.sparkSession, changed.select(*scope).distinct(), "changed")
     if len(scope) == 1:
-        keys = changed.select(*scope).limit(IN_LIST_ROWS + 1).collect()
+        keys = [key[0] for key in changed.limit(IN_LIST_ROWS + 1).collect()]
         if len(keys) <= IN_LIST_ROWS:
-            return df.where(F.col(scope[0]).isin([key[0] for key in keys]))
-    return df.join(sized(landed(df.sparkSession, changed.select(*scope), "changed")), list(scope), "left_semi")
+            named = F.col(scope[0]).isin([key for key in keys if key is not None])
+            return df.where(named | F.col(scope[0]).isNull() if None in keys else named)
+    return null_safe(df, sized(changed), list(scope), "left_semi")

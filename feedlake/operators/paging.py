@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..errors import ReadError
-from ..session import landed, sized
+from ..session import landed, null_safe, sized
 
 PAGE_SIZE = 5000  # fixed value: the default request page size
 NOT_MODIFIED = 304  # fixed value: HTTP status of an unchanged scope
@@ -60,7 +60,7 @@ def live_pages(log: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     last = sized(facts.select("request_key", F.col("attempt").alias("_attempt"), F.col("end_offset").alias("_end")))
     data = log.where((F.col("n_values") > 0) & (F.col("status") != NOT_MODIFIED))
     live = (F.col("attempt") == F.col("_attempt")) & (F.col("_end").isNull() | (F.col("offset") < F.col("_end")))
-    return data.join(last, "request_key").where(live).drop("_attempt", "_end")
+    return null_safe(data, last, ["request_key"]).where(live).drop("_attempt", "_end")
 
 
 def scan_pages(
@@ -78,7 +78,7 @@ def scan_pages(
     """
     pages = live_pages(log, facts)
     if starts is not None:
-        pages = pages.join(sized(starts.select("request_key", "start_offset")), "request_key", "left").where(
+        pages = null_safe(pages, sized(starts.select("request_key", "start_offset")), ["request_key"], "left").where(
             F.col("offset") >= F.coalesce("start_offset", F.lit(0))
         )
     if fields is None:
@@ -100,7 +100,7 @@ def scope_report(log: DataFrame) -> DataFrame:
     begins = pages.select("request_key", "offset").union(
         ends.where("end_offset is not null").select("request_key", F.col("end_offset").alias("offset"))
     ).distinct().withColumnRenamed("offset", "_next").withColumn("_found", F.lit(1))
-    chained = pages.withColumn("_next", F.col("offset") + F.col("n_values")).join(begins, ["request_key", "_next"], "left")
+    chained = null_safe(pages.withColumn("_next", F.col("offset") + F.col("n_values")), begins, ["request_key", "_next"], "left")
     facts = chained.groupBy("request_key").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sum("n_values").alias("n_rows"),
@@ -109,7 +109,7 @@ def scope_report(log: DataFrame) -> DataFrame:
         F.min("version_digest").alias("_low"),
         F.max("version_digest").alias("_high"),
     )
-    joined = ends.join(facts, "request_key", "left")
+    joined = null_safe(ends, facts, ["request_key"], "left")
     rows = F.coalesce("n_rows", F.lit(0))
     return joined.select(
         "request_key", "attempt",
@@ -139,44 +139,50 @@ def running_total(df: DataFrame, scope: list[str], position: str, value: str, ou
     )
 
 
-def cut_pages(
-    df: DataFrame, scope: str, key: str, page_size: int = PAGE_SIZE, key_span: int = 100_000
-) -> DataFrame:
-    """A table as a page log: each scope's rows in ``key`` order, at most ``page_size`` per page, and
-    the empty page that closes the scope.
-
-    Rows are spread by (scope, span of ``key_span`` consecutive keys), so a scope is never one task's
-    work, and every span ends with a short page. The page offset is the row count of the earlier
-    spans plus the place inside the span. One shuffle of the rows: ranking, page forming and the join
-    of the span offsets share its partitioning. ``key`` is the stable sort field: an integral id,
-    normally unique. A span with more rows than keys (a repeated key) is dealt out over parts, in key
-    order within each part. The row counts per span are landed first, since the split, the offsets and
-    the closing pages need them.
+def numbered(df: DataFrame, scope: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_pos``, the place of a row in its scope by ``order`` and then the remaining columns, and the row
+    counts ``_n`` per scope and task.
+
+    Rows are dealt out by sampled ranges of (scope, order), sorted within their range and landed; rows that are equal in
+    every column are dealt out by row number. What a task holds of a scope lies in one stretch, so places follow from
+    row numbers and from the counts of earlier tasks, of which a scope has one per task.
     """
-    if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        raise ReadError(f"pages are cut along an integral id, but {key!r} is {df.schema[key].dataType.simpleString()}")
-    record = [name for name in df.columns if name != scope]
-    floor = -(2**63) // key_span  # rows without a key sort first
-    spans = df.withColumn("_span", F.coalesce(F.expr(f"cast(`{key}` as bigint) div {key_span}"), F.lit(floor)))
-    grain = [scope, "_span"]
-    sizes = landed(df.sparkSession, spans.groupBy(*grain).agg(F.count(F.lit(1)).alias("_n")), "span-sizes")
-    bases = running_total(sizes, [scope], "_span", "_n", "_base").select(*grain, "_base")
-    full = sizes.where(F.col("_n") > key_span)
-    if not full.isEmpty():
-        spans, bases = _split_spans(spans, bases, full, grain, key_span)
-        grain = [*grain, "_part"]
-
-    rank = F.row_number().over(Window.partitionBy(*grain).orderBy(key)) - 1
-    numbered = spans.withColumn("_rank", rank).withColumn("_page", F.expr(f"_rank div {page_size}"))
-    values = F.struct(key, *[name for name in record if name != key])
-    pages = numbered.groupBy(*grain, "_page").agg(
-        F.count(F.lit(1)).cast("int").alias("n_values"), F.sort_array(F.collect_list(values)).alias("values")
+    sort = [*map(F.col, scope), *order, *_orderable(df)]
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*sort, "_row").sortWithinPartitions(*sort, "_row").drop("_row")
+    rows = rows.withColumn("_task", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())
+    rows = landed(df.sparkSession, rows, "numbered")
+    counts = rows.groupBy(*scope, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
+    counts = landed(df.sparkSession, counts, "task-counts")
+    earlier = F.sum("_n").over(Window.partitionBy(*scope).orderBy("_task")) - F.col("_n")
+    shift = counts.select(*scope, "_task", (earlier - F.col("_first")).alias("_shift"))
+    placed = null_safe(rows, sized(shift), [*scope, "_task"]).withColumn("_pos", F.col("_seq") + F.col("_shift"))
+    return placed.drop("_task", "_seq", "_shift"), counts
+
+
+def _orderable(df: DataFrame) -> list[Column]:
+    return [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema]
+
+
+def cut_pages(df: DataFrame, scope: str, key: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """A table as a page log: each scope's rows in ``key`` order, ``page_size`` per page but for the last, and the empty
+    page that closes the scope.
+
+    ``key`` is the stable sort field; rows without it come first, equal keys are ordered by the remaining columns. A null
+    scope is a scope. Pages are cut by the place of a row, however dense or repeated the keys are, and no task ever
+    holds a whole scope: rows are shuffled by range to be placed and then by (scope, page).
+    """
+    rows, counts = numbered(df, [scope], [F.col(key)])
+    values = F.struct(key, *[name for name in df.columns if name not in (scope, key)])
+    pages = rows.groupBy(scope, F.expr(f"_pos div {page_size}").alias("_page")).agg(
+        F.count(F.lit(1)).cast("int").alias("n_values"),
+        F.transform(F.sort_array(F.collect_list(F.struct("_pos", values.alias("_value")))), lambda x: x["_value"]).alias("values"),
     )
-    offsets = pages.join(bases, grain).withColumn("offset", F.col("_base") + F.col("_page") * page_size)
-    ends = sizes.groupBy(scope).agg(F.sum("_n").alias("offset")).select(
+    ends = counts.groupBy(scope).agg(F.sum("_n").alias("offset")).select(
         scope, "offset", F.lit(0).alias("n_values"), F.array().cast(pages.schema["values"].dataType).alias("values")
     )
-    return offsets.select(scope, "offset", "n_values", "values").unionByName(ends).select(
+    pages = pages.select(scope, (F.col("_page") * page_size).alias("offset"), "n_values", "values")
+    return pages.unionByName(ends).select(
         F.col(scope).cast("string").alias("request_key"),
         F.lit(1).alias("attempt"),
         "offset",
@@ -186,41 +192,26 @@ def cut_pages(
     )
 
 
-def _split_spans(
-    spans: DataFrame, bases: DataFrame, full: DataFrame, grain: list[str], key_span: int
-) -> tuple[DataFrame, DataFrame]:
-    """Deal the rows of over-full spans out over parts, and give every part its offset.
-
-    The dealt rows are landed, so that counting and page forming see the same parts; dealing by row
-    number also spreads exact copies of one row.
-    """
-    pieces = sized(landed(spans.sparkSession, full.select(*grain, F.ceil(F.col("_n") / key_span).alias("_pieces")), "full-spans"))
-    part = F.pmod(F.monotonically_increasing_id(), F.col("_pieces")).alias("_part")
-    dealt = landed(spans.sparkSession, spans.join(pieces, grain).select(*spans.columns, part), "split-spans")
-    rest = spans.join(pieces, grain, "left_anti").withColumn("_part", F.lit(0).cast("long"))
-    split = rest.unionByName(dealt)
-    sizes = split.groupBy(*grain, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    inner = running_total(sizes, grain, "_part", "_n", "_inner")
-    return split, inner.join(bases, grain).select(*grain, "_part", (F.col("_base") + F.col("_inner")).alias("_base"))
-
-
 def stable_sort(df: DataFrame, sort_field: str | None) -> DataFrame:
     """Ascending sort by a field, which may be a dotted path; no field, no sort."""
     return df.orderBy(_sort_column(df, sort_field)) if sort_field else df
 
 
 def offset_page(df: DataFrame, sort_field: str, offset: int, limit: int, seek_beyond: int = 100_000) -> DataFrame:
-    """Rows ``[offset, offset + limit)`` in ``sort_field`` order.
+    """Rows ``[offset, offset + limit)`` in ``sort_field`` order, equal keys in the order of the other columns.
 
-    A shallow page is a distributed top-k. A deep page on an integral key is sought: counts per key
-    range (at most 1024 a pass) narrow the key interval that holds the page, and only that interval,
-    filtered at the scan, is sorted.
+    A shallow page is a distributed top-k. For a deep page on an integral key, counts per key range (at most 1024 a pass)
+    narrow the key interval first. What is still deep then, by another type of key, rows without a key or one
+    hot key, gets row places from a distributed sort, so no task ever holds all rows before the page.
     """
     column = _sort_column(df, sort_field)
     integral = isinstance(df.select(column.alias("k")).schema["k"].dataType, (T.LongType, T.IntegerType))
     if offset + limit > seek_beyond and integral:
         df, offset = _seek(df, column, offset, limit, seek_beyond)
-    return df.orderBy(column).offset(offset).limit(limit)
+    if offset + limit > seek_beyond:
+        rows, _ = numbered(df, [], [column])
+        return rows.where(F.col("_pos").between(offset, offset + limit - 1)).orderBy("_pos").drop("_pos")
+    return df.orderBy(column, *_orderable(df)).offset(offset).limit(limit)
 
 
 def _seek(df: DataFrame, column: Column, offset: int, limit: int, enough: int) -> tuple[DataFrame, int]:

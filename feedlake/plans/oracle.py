@@ -6,7 +6,7 @@ import json
 
 from ..catalog import CATALOG
 from ..functions.selector import render
-from .queries import EARLIER_RUN, PAGE, SPAN
+from .queries import EARLIER_RUN, PAGE
 
 ORDER_FIELDS = "o_orderkey, o_custkey, o_orderstatus, o_orderpriority"
 MONTH = "coalesce(cast(cast(date_trunc('month', o_orderdate) as date) as varchar), 'undated')"
@@ -41,13 +41,15 @@ where n.digest is distinct from o.digest"""
 
 PAGES = f"""
 numbered as (
-  select {MONTH} as request_key, o_orderkey // {SPAN} as span, *,
-    row_number() over (partition by {MONTH}, o_orderkey // {SPAN} order by o_orderkey) - 1 as rn,
-    row_number() over (partition by {MONTH} order by o_orderkey) - 1 as pos
+  select {MONTH} as request_key, *, row_number() over (partition by {MONTH} order by o_orderkey) - 1 as pos
   from orders),
 pages as (
-  select request_key, span, rn // {PAGE} as page, count(*) as n_values, min(pos) as page_offset
-  from numbered group by 1, 2, 3)"""
+  select request_key, pos // {PAGE} as page, count(*) as n_values, min(pos) as page_offset,
+    min(o_orderkey) as first_id, max(o_orderkey) as last_id
+  from numbered group by 1, 2)"""
+
+NULL_SCOPED = """
+scoped as (select *, case when o_orderpriority <> '1-URGENT' then o_orderpriority end as request_key from orders)"""
 
 SAVED = f"""
 saved as (
@@ -105,7 +107,21 @@ POSTING_NULLS = ", ".join(
 
 ORACLE: dict[str, str] = {
     "page_scan": f"select {ORDER_FIELDS} from orders",
-    "page_index": f"with {PAGES} select request_key, page_offset, n_values from pages",
+    "page_index": f"with {PAGES} select request_key, page_offset, n_values, first_id, last_id from pages",
+    "page_index_repeated": f"""
+        with n as (select l_orderkey, row_number() over (order by l_orderkey) - 1 as pos from lineitem)
+        select 'lines' as request_key, min(pos) as page_offset, count(*) as n_values, min(l_orderkey) as first_id,
+          max(l_orderkey) as last_id from n group by pos // {PAGE}""",
+    "page_index_sparse": f"""with {PAGES}
+        select request_key, page_offset, n_values, first_id * 1000003 as first_id, last_id * 1000003 as last_id from pages""",
+    "null_scope_scan": f"select {ORDER_FIELDS} from orders",
+    "null_scope_conditional": f"""
+        with {NULL_SCOPED}
+        select request_key, {ORDER_FIELDS} from scoped where o_orderpriority in (
+          select o_orderpriority from orders where o_orderpriority <> '5-LOW'
+          group by 1 having count(*) <> count(case when o_orderdate < timestamp '{EARLIER_RUN} 00:00:00' then 1 end))""",
+    "changed_since_text": f"""select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') as ts_text from events where ts >= {WATERMARK}""",
+    "deep_page_text": "select o_orderpriority, o_orderkey from orders order by 1, 2 limit 250 offset 1200",
     "scope_report": f"""with {PAGES} select request_key, count(*) as n_pages, cast(sum(n_values) as bigint) as n_rows,
         true as complete, true as contiguous from pages group by 1""",
     "sorted_page": f"select {ORDER_FIELDS} from orders order by o_orderkey limit 500 offset 1000",

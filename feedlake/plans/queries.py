@@ -29,7 +29,6 @@ from .reader import scan_entity
 Query = Callable[[SparkSession, str], DataFrame]
 
 PAGE = 50
-SPAN = 5_000
 EARLIER_RUN = dt.date(1998, 7, 15)  # the earlier run saw the orders placed before this day
 EVENT_WATERMARK = "2024-01-15T00:00:00Z"
 ORDER_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -59,7 +58,7 @@ def _earlier(orders: DataFrame) -> DataFrame:
 
 def _order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders landed as pages of monthly scopes."""
-    return landed(spark, paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN), "pages")
+    return landed(spark, paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE), "pages")
 
 
 def _with_strays(log: DataFrame) -> DataFrame:
@@ -76,9 +75,57 @@ def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.scan_pages(_with_strays(_order_log(spark, sf_dir)), ORDER_LEAVES)
 
 
+def _page_bounds(log: DataFrame, key: str) -> DataFrame:
+    ends = [F.try_element_at("values", F.lit(at))[key].alias(name) for at, name in ((1, "first_id"), (-1, "last_id"))]
+    return log.where("n_values > 0").select("request_key", F.col("offset").alias("page_offset"), "n_values", *ends)
+
+
 def page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN)
-    return log.where("n_values > 0").select("request_key", F.col("offset").alias("page_offset"), "n_values")
+    return _page_bounds(paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE), "o_orderkey")
+
+
+def page_index_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scope whose key repeats: the lines of all orders."""
+    lines = table(spark, sf_dir, "lineitem").select(F.lit("lines").alias("request_key"), "l_orderkey", "l_linenumber")
+    return _page_bounds(paging.cut_pages(lines, "request_key", "l_orderkey", PAGE), "l_orderkey")
+
+
+def page_index_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys far apart do not make short pages."""
+    orders = _orders(spark, sf_dir).select("request_key", (F.col("o_orderkey") * 1_000_003).alias("id"))
+    return _page_bounds(paging.cut_pages(orders, "request_key", "id", PAGE), "id")
+
+
+def _null_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority, where urgent ones have no scope."""
+    scope = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").withColumn("request_key", scope)
+
+
+def null_scope_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = landed(spark, paging.cut_pages(_null_scoped(spark, sf_dir), "request_key", "o_orderkey", PAGE), "pages")
+    return paging.scan_pages(log, ORDER_LEAVES)
+
+
+def null_scope_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scopes whose row count has changed since the earlier run; the urgent ones have a null scope."""
+    orders = _null_scoped(spark, sf_dir)
+    counted = lambda df: df.groupBy("request_key").agg(F.count("*").cast("string").alias("digest"))
+    saved = counted(orders.where((F.col("o_orderdate") < F.lit(EARLIER_RUN)) | (F.col("o_orderpriority") == "5-LOW")))
+    changed = incremental.changed_scopes(counted(orders), saved, ["request_key"])
+    return incremental.conditional_scan(orders, changed, ["request_key"]).select("request_key", *ORDER_FIELDS)
+
+
+def changed_since_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps as text with fractions of seconds."""
+    events = table(spark, sf_dir, "events").withColumn("ts_text", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    return incremental.changed_since(events, "ts_text", EVENT_WATERMARK).select("event_id", "ts_text")
+
+
+def deep_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deep page by a text key with many equal values."""
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey")
+    return paging.offset_page(orders, "o_orderpriority", 1200, 250, seek_beyond=100)
 
 
 def scope_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +153,7 @@ def entity_page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages landed as JSON lines, of which only the wanted fields are parsed."""
-    log = paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE, SPAN)
+    log = paging.cut_pages(_orders(spark, sf_dir), "request_key", "o_orderkey", PAGE)
     folder = scratch_dir(spark, "json-pages")
     log.select("request_key", "offset", "values").write.json(folder)
     record = narrow_schema(log.schema["values"].dataType.elementType, ORDER_FIELDS)
@@ -368,7 +415,7 @@ def _entity_rows(spark: SparkSession, rows: DataFrame, spec: EntitySpec, given:
     schema = spec.record_schema()
     fields = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
     records = rows.select(given["request_key"].alias("request_key"), *fields)
-    return scan_entity(landed(spark, paging.cut_pages(records, "request_key", "id", PAGE, SPAN), "pages"), spec)
+    return scan_entity(landed(spark, paging.cut_pages(records, "request_key", "id", PAGE), "pages"), spec)
 
 
 def _object(column: str) -> Column:
@@ -424,7 +471,8 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        page_scan, page_index, scope_report, sorted_page, deep_page, json_pages, entity_page_source,
+        page_scan, page_index, page_index_repeated, page_index_sparse, null_scope_scan, null_scope_conditional,
+        scope_report, sorted_page, deep_page, deep_page_text, json_pages, entity_page_source, changed_since_text,
         changed_since, changed_since_first_run, changed_since_two_runs, changed_since_stream, watermark_format, param_filter,
         month_windows, relative_windows, windowed_scan, year_shift, scope_key,
         scope_digest, changed_scopes, conditional_scan,

@@ -53,6 +53,13 @@ def landed(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which nulls are equal; the key columns of ``left`` stay."""
+    other = right.select([F.col(c).alias(f"_key_{c}" if c in keys else c) for c in right.columns])
+    same = [left[c].eqNullSafe(other[f"_key_{c}"]) for c in keys]
+    return left.join(other, same, how).drop(*[f"_key_{c}" for c in keys])
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers once per application, as ``--py-files`` would."""
     context = spark.sparkContext

@@ -112,10 +112,10 @@ def check_log(log, data, page_size):
 
 def test_cut_pages_property(spark):
     rng = random.Random(7)
-    for page_size, key_span in ((1, 3), (4, 10), (7, 1000)):
+    for page_size in (1, 4, 7):
         data = [(rng.choice("aab"), key, f"v{key}") for key in rng.sample(range(-50, 200), 120)]
         df = spark.createDataFrame(data, "s string, id long, v string")
-        log = paging.cut_pages(df, "s", "id", page_size, key_span)
+        log = paging.cut_pages(df, "s", "id", page_size)
         check_log(log, data, page_size)
         firsts = log.where("n_values > 0").select("request_key", "offset", F.get("values", F.lit(0))["id"].alias("id")).collect()
         ordered = sorted(firsts, key=lambda r: (r["request_key"], r["offset"]))
@@ -125,20 +125,33 @@ def test_cut_pages_property(spark):
 def test_cut_pages_with_a_repeated_key_and_missing_keys(spark):
     data = [("a", 5, f"v{i}") for i in range(60)] + [("a", 77, "copy")] * 40 + [("a", None, f"n{i}") for i in range(30)] + [("b", 1, "x")]
     df = spark.createDataFrame(data, "s string, id long, v string")
-    check_log(paging.cut_pages(df, "s", "id", 6, 10), data, 6)
+    check_log(paging.cut_pages(df, "s", "id", 6), data, 6)
 
 
 def test_cut_pages_spreads_a_large_scope(spark):
     df = spark.range(4000).select(F.lit("only").alias("s"), "id")
-    log = paging.cut_pages(df, "s", "id", 50, 200)
+    log = paging.cut_pages(df, "s", "id", 50)
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert log.where("n_values > 0").count() == 80
 
 
-def test_cut_pages_needs_an_integral_key(spark):
-    with pytest.raises(ReadError, match="integral"):
-        paging.cut_pages(spark.createDataFrame([], "s string, id string"), "s", "id")
+def test_cut_pages_in_key_order_with_copies_null_scope_and_text_keys(spark):
+    data = [(scope, f"k{i % 30:02d}") for scope in ("a", None) for i in range(100)]
+    log = paging.cut_pages(spark.createDataFrame(data, "s string, id string").repartition(5), "s", "id", 10)
+    for scope in ("a", None):
+        pages = log.where(F.col("request_key").eqNullSafe(F.lit(scope))).orderBy("offset").collect()
+        assert [(p["offset"], p["n_values"]) for p in pages] == [(k * 10, 10) for k in range(10)] + [(100, 0)]
+        assert [v["id"] for p in pages for v in p["values"]] == sorted(key for s, key in data if s == scope)
+    assert paging.scan_pages(log).count() == 200
+
+
+@pytest.mark.parametrize("key", ["id", "text"])
+def test_deep_page_of_a_hot_key_is_not_one_task(spark, key):
+    df = spark.range(0, 3000, 1, 6).select(F.lit(7).alias("id"), F.lit("x").alias("text"), F.col("id").alias("n"))
+    page = paging.offset_page(df, key, 2000, 20, seek_beyond=500)
+    assert [r["n"] for r in page.collect()] == list(range(2000, 2020))
+    assert "TakeOrdered" not in page._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("seek_beyond", [0, 10**6])

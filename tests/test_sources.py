@@ -63,7 +63,7 @@ def test_read_page_log_narrow_and_filled(spark, tmp_path):
 
 def test_replay_gives_back_the_landed_rows(spark, tmp_path):
     df = spark.range(500).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("s"), "id", F.col("id").cast("string").alias("v"))
-    log = spark.createDataFrame(paging.cut_pages(df, "s", "id", 7, 60).collect(), paging.cut_pages(df, "s", "id", 7, 60).schema)
+    log = spark.createDataFrame(paging.cut_pages(df, "s", "id", 7).collect(), paging.cut_pages(df, "s", "id", 7).schema)
     root = str(tmp_path / "pages")
     land_pages(log, root)
     scopes = replay_scopes(log, least_rows=100)
