@@ -2,9 +2,10 @@
 
 Encoded parts are unwrapped with a worklist of layers. The text is the first layer; URL escapes,
 Unicode escapes, base64 runs and zlib/gzip streams found in a layer give new layers, until no new
-layer appears. A layer that was seen before is not opened again, which ends cycles. Every character
-of a layer knows the span of the original text that it came from, so a finding in any layer is
-reported as a span of the original text.
+layer appears. Every character of a text with escapes undone knows the span of the original that it came
+from; all that a base64 run encodes, however deep, has the span of the run. Cycles end because a layer
+is not opened again at the same place, nor within the same run; equal runs are opened once, and what
+they hide is reported at each of their places.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import base64
 import binascii
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -47,14 +49,18 @@ class Layer:
     """Decoded text; ``starts`` and ``ends`` give each character's span in the original (None: the text itself)."""
 
     text: str
-    starts: list[int] | None = None
-    ends: list[int] | None = None
+    starts: array | None = None
+    ends: array | None = None
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
         return min(self.starts[start:end]), max(self.ends[start:end])
 
+    def key(self) -> tuple[bytes, bytes]:
+        """Equal only for the same text at the same places."""
+        return _digest(self.text), b"" if self.starts is None else xxhash.xxh3_128_digest(self.starts.tobytes() + self.ends.tobytes())
+
 
 def matches(text: str) -> Iterator[tuple[str, int, int]]:
     """Base findings: per kind leftmost and without overlap, those that fail the length test dropped."""
@@ -67,47 +73,55 @@ def matches(text: str) -> Iterator[tuple[str, int, int]]:
         yield from (("hex", m.start(), m.end()) for m in _HEX.finditer(text) if m.end() - m.start() >= 16)
 
 
-def _substituted(layer: Layer, found: list[tuple[int, int, str]]) -> Layer:
-    """``layer`` with each (start, end, decoded) replaced; decoded characters map to the whole replaced span."""
-    parts, starts, ends, at = [], [], [], 0
+Part = tuple[int, int, str]  # start, end, decoded
+
+
+def _replaced(text: str, found: list[Part]) -> str:
+    """``text`` with each part replaced by what it encodes."""
+    parts, at = [], 0
+    for start, end, decoded in found:
+        parts += [text[at:start], decoded]
+        at = end
+    return "".join(parts) + text[at:]
+
+
+def _substituted(layer: Layer, found: list[Part]) -> Layer:
+    """``layer`` with each part replaced; decoded characters map to the whole replaced span."""
+    starts, ends, at = array("q"), array("q"), 0
     own = layer.starts is None
 
     def copy(a: int, b: int) -> None:
-        parts.append(layer.text[a:b])
         starts.extend(range(a, b) if own else layer.starts[a:b])
         ends.extend(range(a + 1, b + 1) if own else layer.ends[a:b])
 
     for start, end, decoded in found:
         copy(at, start)
         low, high = layer.span(start, end)
-        parts.append(decoded)
         starts.extend([low] * len(decoded))
         ends.extend([high] * len(decoded))
         at = end
     copy(at, len(layer.text))
-    return Layer("".join(parts), starts, ends)
+    return Layer(_replaced(layer.text, found), starts, ends)
 
 
-def _url_layer(layer: Layer) -> Iterator[Layer]:
+def _url_parts(text: str) -> list[Part]:
     found = []
-    for m in _URL.finditer(layer.text):
+    for m in _URL.finditer(text) if "%" in text else ():
         run = bytes.fromhex(m[0].replace("%", ""))
         if not any(byte >= 128 for byte in run):  # each escape is one character with a span of its own
             found += [(m.start() + 3 * i, m.start() + 3 * i + 3, chr(byte)) for i, byte in enumerate(run)]
         else:
             found.append((m.start(), m.end(), run.decode("utf-8", "replace")))
-    if found:
-        yield _substituted(layer, found)
+    return found
 
 
-def _escape_layer(layer: Layer) -> Iterator[Layer]:
+def _escape_parts(text: str) -> list[Part]:
     found = []
-    for m in _ESCAPE.finditer(layer.text):
+    for m in _ESCAPE.finditer(text) if "\\" in text else ():
         code = int(m[1] or m[2] or m[3], 16)
         if code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF:
             found.append((m.start(), m.end(), chr(code)))
-    if found:
-        yield _substituted(layer, found)
+    return found
 
 
 def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
@@ -154,36 +168,50 @@ def _line_windows(parts: Iterator[bytes]) -> Iterator[bytes]:
         yield bytes(held)
 
 
-def _base64_layers(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        low, high = layer.span(m.start(), m.end())
-        parts = _unpacked(data)
-        if parts is not None:
-            texts = (window.decode("utf-8", "replace") for window in _line_windows(parts))
-        else:
-            try:
-                text = data.decode("utf-8")
-            except UnicodeDecodeError:
-                continue
-            texts = [text] if text and all(c.isprintable() or c in "\t\r\n" for c in text) else []
-        for text in texts:
-            yield Layer(text, [low] * len(text), [high] * len(text))
-
-
-def _opened(layer: Layer) -> Iterator[Layer]:
-    """The layers that are encoded in one, each made when it is asked for."""
-    if "%" in layer.text:
-        yield from _url_layer(layer)
-    if "\\" in layer.text:
-        yield from _escape_layer(layer)
-    yield from _base64_layers(layer)
+def _decoded(run: str) -> Iterator[str]:
+    """The texts that a base64 run encodes: one, or the windows of a compressed stream."""
+    run = run.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(run) % 4 == 1:
+        run = run[:-1]
+    try:
+        data = base64.b64decode(run + "=" * (-len(run) % 4))
+    except (binascii.Error, ValueError):
+        return
+    parts = _unpacked(data)
+    if parts is not None:
+        yield from (window.decode("utf-8", "replace") for window in _line_windows(parts))
+        return
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return
+    if text and all(c.isprintable() or c in "\t\r\n" for c in text):
+        yield text
+
+
+def _opened(text: str) -> Iterator[str]:
+    """The texts that are encoded in one, each made when it is asked for."""
+    for find in (_url_parts, _escape_parts):
+        if found := find(text):
+            yield _replaced(text, found)
+    for m in _BASE64.finditer(text):
+        yield from _decoded(m[0])
+
+
+def _hidden(run: str) -> set[str]:
+    """The kinds of findings in all that a base64 run encodes, however deep; their place is that of the run."""
+    kinds: set[str] = set()
+    seen: set[bytes] = set()
+    work = [_decoded(run)]  # depth first, so one window of a stream is held at a time
+    while work and len(kinds) < len(KINDS):
+        text = next(work[-1], None)
+        if text is None:
+            work.pop()
+        elif (digest := _digest(text)) not in seen:
+            seen.add(digest)
+            kinds.update(kind for kind, _, _ in matches(text))
+            work.append(_opened(text))
+    return kinds
 
 
 def _digest(text: str) -> bytes:
@@ -199,18 +227,27 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     order = {kind: k for k, kind in enumerate(KINDS)}
     base = {(start, kind, end) for kind, start, end in matches(text)}
     more: set[Span] = set()
-    seen = {_digest(text)}
-    work = [_opened(Layer(text))]  # layers are opened depth first, so one window of a stream is held at a time
+    hidden: dict[str, set[str]] = {}  # equal runs are opened once and found at each of their places
+    work = [Layer(text)]
+    seen = {work[0].key()}
     while work:
-        layer = next(work[-1], None)
-        if layer is None:
-            work.pop()
-        elif (digest := _digest(layer.text)) not in seen:
-            seen.add(digest)
+        layer = work.pop()
+        if layer.starts is not None:
             for kind, start, end in matches(layer.text):
                 low, high = layer.span(start, end)
                 more.add((low, kind, high))
-            work.append(_opened(layer))
+        for m in _BASE64.finditer(layer.text):
+            if (kinds := hidden.get(m[0])) is None:
+                kinds = hidden[m[0]] = _hidden(m[0])
+            if kinds:
+                low, high = layer.span(m.start(), m.end())
+                more.update((low, kind, high) for kind in kinds)
+        for find in (_url_parts, _escape_parts):
+            if found := find(layer.text):
+                inner = _substituted(layer, found)
+                if (key := inner.key()) not in seen:
+                    seen.add(key)
+                    work.append(inner)
     key = lambda span: (span[0], order[span[1]], span[2])
     return sorted(base, key=key), sorted(more - base, key=key)
 

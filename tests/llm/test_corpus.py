@@ -321,6 +321,25 @@ def test_secrets_in_nested_layers():
     assert find_secrets(None) == ([], [])
 
 
+def test_repeated_encoded_secrets_are_found_at_each_place(spark):
+    import gzip
+
+    secret = b"password = Zq8fK2mWx91LpT"
+    plain, packed = base64.b64encode(secret).decode(), base64.b64encode(gzip.compress(secret)).decode()
+    nested = base64.b64encode(plain.encode()).decode()
+    escaped = "%70assword=Zq8fK2mWx91LpT"
+    runs = [plain, packed, nested, plain, escaped, packed, nested, plain, escaped]
+    text = " \n".join(runs)
+    want, at = set(), 0
+    for run in runs:
+        want.add((at, "assign", at + len(run)))
+        at += len(run) + 2
+    base, more = find_secrets(text)
+    assert want <= set(base + more)
+    got = mask_secrets(documents(spark, [(1, text)])).first()["text"]
+    assert got == " \n".join(["[assign]"] * len(runs))
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = documents(spark, [*ODD, (30, "token: abcdefghijkl99 end")])
     got = mask_secrets(docs)
