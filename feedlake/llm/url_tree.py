@@ -1,11 +1,11 @@
 """URL filter: listed rules first, then a path-template tree per host.
 
-The tree is grown level by level with grouped counts. A segment value stays a branch of its own only
-if it looks constant and holds a fixed share of its parent's rows; all others become a wildcard. A
-node therefore has a bounded number of branches, whatever the host's size. Sibling branches whose
-address shapes are distributed alike (chi-square distance) are merged. A template is rejected when
-the smoothed share of its rows that the rules block is high enough; rows under no rule count as
-not blocked, so a template is only rejected where most of what it covers is known to be bad.
+The tree is grown level by level with grouped counts, over every prefix of a path. A segment value stays
+a branch of its own if it has enough rows and its slot holds few distinct values or it stands out among
+them; all others become a wildcard. At each level sibling branches whose address shapes are distributed
+alike (chi-square distance) are merged and grow on as one. The purity of a node is the share of blocked
+rows among its labelled ones (those under a rule), smoothed towards its parent. A page under no rule is
+rejected where the node at which its path ends has labelled rows and is pure enough.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.llm.common import Lists, map_lists
 from feedlake.session import landed
 
 #: (verdict, host, path prefix)
@@ -23,13 +24,15 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: A branch holds this share of its parent's rows at least, so a node has at most 1 / MIN_SHARE of them.
-MIN_SHARE = 0.05
+#: A branch has so many rows at least, and the values of its slot so many on average or it so many times their average.
+MIN_ROWS, STAND_OUT = 10, 4
 #: Levels of the tree; what lies deeper belongs to the tail of its template.
 MAX_LEVELS = 8
 #: Sibling branches merge below this chi-square distance of their shape shares (0 alike, 1 disjoint).
 MERGE_BELOW = 0.2
-#: Pseudo rows on either side of the smoothed purity, and the share from which a template is rejected.
+#: Steps of the grid on the roots of shape shares. Two branches of one cell differ by 5 / GRID ** 2 at most, less than MERGE_BELOW.
+GRID = 8
+#: Half the pseudo rows that a node has of its parent's purity, and the share from which a template is rejected.
 SMOOTHING = 1.0
 REJECT_FROM = 0.8
 
@@ -68,70 +71,98 @@ def _pattern(path: Column) -> Column:
     return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.when(s.rlike(variable), F.lit("*")).otherwise(s))
 
 
+def _smoothed(bad: Column, labelled: Column, parent: Column) -> Column:
+    return (bad + 2 * SMOOTHING * parent) / (labelled + 2 * SMOOTHING)
+
+
+def _counts() -> list[Column]:
+    return [F.sum(name).alias(name) for name in ("n", "n_labelled", "n_blocked", *_SHAPES)]
+
+
 def grow(rows: DataFrame) -> DataFrame:
-    """The template of every distinct address pattern: host, pattern, shape, n, n_blocked, parent, branch, template.
+    """Every distinct address pattern with the node at which it ends: host, pattern, template, n_node, purity, ...
 
-    ``rows`` has host, path, shape and verdict (of the rules, or null). They are counted per pattern before anything
-    else, so a host with a third of all rows costs no more than its patterns.
+    ``n_node`` counts the labelled rows of the node, that is of all paths that begin with its template. ``rows`` has
+    host, path, shape and verdict (of the rules, or null). They are counted per pattern before anything else, so a host
+    with a third of all rows costs no more than its patterns.
     """
-    blocked = F.sum(F.when(F.col("verdict") == "block", 1).otherwise(0)).cast("long")
-    rows = rows.groupBy("host", _pattern(F.col("path")).alias("pattern"), "shape").agg(F.count("*").alias("n"), blocked.alias("n_blocked"))
-    rows = landed(rows.sparkSession, rows, "url-patterns")
-    depth = rows.agg(F.max(F.size("pattern"))).first()[0] or 0
-    rows = rows.withColumns({name: F.lit("") for name in ("parent", "branch", "template")})
-    for level in range(min(depth, MAX_LEVELS)):
+    spark = rows.sparkSession
+    own = {s: F.count(F.when(F.col("shape") == s, 1)) for s in _SHAPES}
+    rows = rows.groupBy("host", _pattern(F.col("path")).alias("pattern")).agg(
+        F.count("*").alias("n"), F.count("verdict").alias("n_labelled"), F.count(F.when(F.col("verdict") == "block", 1)).alias("n_blocked"),
+        *[count.alias(s) for s, count in own.items()],
+    )
+    rows = landed(spark, rows, "url-patterns")
+    depth, labelled, bad = rows.agg(F.max(F.size("pattern")), F.sum("n_labelled"), F.sum("n_blocked")).first()
+    everywhere = _smoothed(F.lit(bad or 0), F.lit(labelled or 0), F.lit(0.5))
+    roots = rows.groupBy("host").agg(F.sum("n_labelled").alias("n_node"), F.sum("n_blocked").alias("_bad"))
+    roots = roots.select("host", F.lit("").alias("template"), "n_node", _smoothed(F.col("_bad"), F.col("n_node"), everywhere).alias("purity"))
+    rows = rows.join(roots, "host")
+    for level in range(min(depth or 0, MAX_LEVELS)):
         here = rows.where(F.size("pattern") > level).withColumn("_value", F.get("pattern", F.lit(level)))
-        child = here.groupBy("host", "template", "_value").agg(F.sum("n").alias("_n"))
-        whole = child.groupBy("host", "template").agg(F.sum("_n").alias("_whole"))
-        kept = child.join(whole, ["host", "template"]).where(F.col("_n") >= MIN_SHARE * F.col("_whole"))
-        kept = kept.select("host", "template", "_value", F.lit(True).alias("_kept"))
-        grown = here.join(kept, ["host", "template", "_value"], "left")
-        grown = grown.withColumn("parent", F.col("template"))
-        grown = grown.withColumn("branch", F.when(F.col("_kept"), F.col("_value")).otherwise(F.lit("*")))
-        grown = grown.withColumn("template", F.concat_ws("/", "template", "branch")).drop("_value", "_kept")
+        grown = landed(spark, _branches(here), f"url-level-{level}")
+        nodes = landed(spark, _merged(grown), f"url-nodes-{level}")
+        grown = grown.drop("template", "n_node", "purity").withColumnsRenamed({"_parent": "template"}).join(nodes, ["host", "template", "branch"])
+        grown = grown.withColumn("template", F.concat_ws("/", "template", "group")).drop("branch", "group", "_value")
         rows = rows.where(F.size("pattern") <= level).unionByName(grown)
     return rows
 
 
-def judge_templates(grown: DataFrame) -> DataFrame:
-    """One row per (host, template): n, n_blocked, the merged group, its purity, and whether it is rejected."""
-    node = grown.groupBy("host", "parent", "template", "branch").agg(
-        F.sum("n").alias("n"), F.sum("n_blocked").alias("n_blocked"),
-        *[F.sum(F.when(F.col("shape") == s, F.col("n")).otherwise(0)).alias(s) for s in _SHAPES],
-    )
-    return _purity(_merged(node))
+def _branches(here: DataFrame) -> DataFrame:
+    """Add ``branch``, the value of the next segment or a wildcard, by the rows of the value and the distinct values of its slot."""
+    value = here.groupBy("host", "template", "_value").agg(F.sum("n").alias("_n"))
+    slot = value.groupBy("host", "template").agg((F.sum("_n") / F.count("*")).alias("_mean"))
+    kept = value.where(F.col("_n") >= MIN_ROWS).join(slot, ["host", "template"])
+    kept = kept.where((F.col("_mean") >= MIN_ROWS) | (F.col("_n") >= STAND_OUT * F.col("_mean")))
+    kept = kept.select("host", "template", "_value", F.lit(True).alias("_kept"))
+    here = here.join(kept, ["host", "template", "_value"], "left")
+    return here.withColumn("branch", F.when(F.col("_kept"), F.col("_value")).otherwise(F.lit("*"))).withColumn("_parent", F.col("template")).drop("_kept")
 
 
-def _merged(node: DataFrame) -> DataFrame:
-    """Add ``group``: the branch that stands for all siblings of like shape, the one with most rows.
+def _apart(a: dict, b: dict) -> float:
+    """The chi-square distance of the shape shares of two branches."""
+    shares = [(a[s] / a["n"], b[s] / b["n"]) for s in _SHAPES]
+    return sum((p - q) ** 2 / (p + q) for p, q in shares if p + q) / 2
 
-    A node has at most 1 / MIN_SHARE branches and a wildcard, so joining siblings with the leading ones stays small.
+
+def _leaders(rows: Lists) -> Lists:
+    """Every cell of a node with its group: the first cell, from the one with most rows on, that is alike and leads itself."""
+    out: Lists = {name: [] for name in ("host", "template", "cell", "group")}
+    for host, template, cells in zip(rows["host"], rows["template"], rows["cells"]):
+        leads: list[dict] = []
+        for cell in sorted(cells, key=lambda c: (-c["n"], c["lead"])):
+            lead = next((x for x in leads if _apart(cell, x) < MERGE_BELOW), None)
+            if lead is None:
+                leads.append(lead := cell)
+            for name, value in zip(out, (host, template, cell["cell"], lead["lead"])):
+                out[name].append(value)
+    return out
+
+
+def _merged(grown: DataFrame) -> DataFrame:
+    """host, template (of the parent), branch, group, n_node, purity: siblings of like shape are one node, named after the largest.
+
+    Branches are gathered by cells of a grid over their shape shares first; a node has a bounded number of cells
+    however many branches it has, so comparing its cells with each other stays small.
     """
-    other = node.select("host", "parent", F.col("branch").alias("_b"), F.col("n").alias("_n"), *[F.col(s).alias(f"_{s}") for s in _SHAPES])
-    apart = F.lit(0.0)
-    for s in _SHAPES:
-        p, q = F.col(s) / F.col("n"), F.col(f"_{s}") / F.col("_n")
-        apart = apart + F.when(p + q > 0, (p - q) * (p - q) / (p + q)).otherwise(0.0)
-    alike = node.join(other, ["host", "parent"]).where((apart / 2 < MERGE_BELOW) | (F.col("branch") == F.col("_b")))
-    lead = alike.groupBy("host", "parent", "branch").agg(F.max(F.struct("_n", "_b")).alias("_lead"))
-    return node.join(lead, ["host", "parent", "branch"]).withColumn("group", F.col("_lead._b")).drop("_lead")
-
-
-def _purity(node: DataFrame) -> DataFrame:
-    """Add the smoothed share of blocked rows of each merged group, and whether it is rejected."""
-    total = node.groupBy("host", "parent", "group").agg(F.sum("n").alias("_n"), F.sum("n_blocked").alias("_bad"))
-    purity = (F.col("_bad") + SMOOTHING) / (F.col("_n") + 2 * SMOOTHING)
-    return (
-        node.join(total, ["host", "parent", "group"]).withColumn("purity", purity)
-        .withColumn("rejected", F.col("purity") >= REJECT_FROM)
-        .select("host", "parent", "template", "branch", "group", "n", "n_blocked", "purity", "rejected")
+    node = grown.groupBy("host", "template", "branch").agg(*_counts(), F.first("purity").alias("_above"))
+    cell = F.concat_ws(",", *[F.floor(F.sqrt(F.col(s) / F.col("n")) * GRID).cast("string") for s in _SHAPES])
+    node = node.withColumn("cell", cell)
+    cells = node.groupBy("host", "template", "cell").agg(*_counts(), F.max(F.struct("n", "branch"))["branch"].alias("lead"))
+    cells = cells.groupBy("host", "template").agg(F.collect_list(F.struct("cell", "lead", "n", *_SHAPES)).alias("cells"))
+    group = map_lists(cells, lambda: _leaders, "host string, template string, cell string, group string")
+    node = node.join(group, ["host", "template", "cell"])
+    whole = node.groupBy("host", "template", "group").agg(
+        F.sum("n_labelled").alias("n_node"), F.sum("n_blocked").alias("_bad"), F.first("_above").alias("_above")
     )
+    whole = whole.withColumn("purity", _smoothed(F.col("_bad"), F.col("n_node"), F.col("_above"))).drop("_bad", "_above")
+    return node.select("host", "template", "branch", "group").join(whole, ["host", "template", "group"])
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict of every page.
 
-    The listed rule decides where one fits; else the template that the page belongs to. Null urls and urls without
+    The listed rule decides where one fits; else the node of the template tree at which the path ends. Null urls and urls without
     ``://`` have an empty host and path and are judged like any other. Repeated pages keep their rows; other columns
     are not read; an empty table gives an empty result.
     """
@@ -140,9 +171,8 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     name, verdict = rule_for(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", name).withColumn("verdict", verdict)
     rows = rows.withColumn("shape", _shape(F.coalesce("url", F.lit("")), F.col("path")))
-    grown = landed(pages.sparkSession, grow(rows), "url-templates")
-    rejected = judge_templates(grown).where("rejected").select("host", "template")
-    bad = grown.join(rejected, ["host", "template"], "left_semi").select("host", "pattern").distinct()
+    grown = grow(rows).where((F.col("n_node") > 0) & (F.col("n_labelled") < F.col("n")) & (F.col("purity") >= REJECT_FROM))
+    bad = landed(pages.sparkSession, grown.select("host", "pattern").distinct(), "url-templates")
     free = rows.where("rule is null").withColumn("pattern", _pattern(F.col("path")))
     free = free.join(bad.withColumn("_bad", F.lit(True)), ["host", "pattern"], "left")
     free = free.withColumn("verdict", F.when(F.col("_bad"), F.lit("block")).otherwise(F.lit("allow")))

@@ -436,6 +436,21 @@ def test_url_rules(spark):
     assert host_and_path is not None
 
 
+def test_templates_reject_what_no_rule_names(spark):
+    """Alike siblings share the labels of one, at an inner level; unlike and unlabelled ones keep out of it."""
+    rules = (("block", "h.net", "/a/"), ("block", "s.net", "/bad/x/"), ("allow", "s.net", "/ok/"))
+    urls = [f"http://h.net/{part}/{k}" for part in "ab" for k in range(40)]
+    urls += [f"http://h.net/c/{k}.html" for k in range(40)] + [f"http://o.net/b/{k}" for k in range(40)]
+    urls += [f"http://s.net/ok/{k}" for k in range(3000)]  # the bad section has 2 % of this host
+    urls += [f"http://s.net/bad/{part}/{k}.html" for part in "xy" for k in range(30)]
+    pages = spark.createDataFrame([(k, u, None, None, 0) for k, u in enumerate(urls)], PAGES)
+    got = {urls[r["page_id"]]: (r["rule"], r["verdict"]) for r in judge_urls(pages, rules).collect()}
+    want = {"h.net/a": "block", "h.net/b": "block", "h.net/c": "allow", "o.net/b": "allow", "s.net/ok": "allow", "s.net/bad/x": "block", "s.net/bad/y": "block"}
+    for start, verdict in want.items():
+        assert {v for u, (_, v) in got.items() if u.startswith(f"http://{start}/")} == {verdict}, start
+    assert got["http://h.net/b/1"] == got["http://s.net/bad/y/1.html"] == (None, "block")
+
+
 def test_pipeline_applies_its_stages(spark, texts):
     import corpus_pipeline
 
