@@ -2,14 +2,15 @@
 
 The score of a text is a bias, a weight per term, and a learned interaction of every pair of its
 terms, computed from short factor vectors in time linear in the terms. Terms are lower-cased words
-and word beginnings, hashed. The machine is fitted on a bounded sample of labelled rows; scoring is
+and word beginnings, hashed, chosen by the number of their texts only, so that terms which count only
+together take part; each text is scaled to length 1. The machine is fitted on a bounded sample of labelled rows; scoring is
 one narrow pass over all texts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import log
+from math import log, sqrt
 from zlib import crc32
 
 import numpy as np
@@ -21,8 +22,8 @@ from feedlake.llm.common import held_out, map_lists, training_ids
 #: Labelled rows per class that are learnt from, at most.
 TRAINING_ROWS = 4000
 HASH_BITS = 22
-#: Terms that enter the machine: at least so many training texts, this strength of evidence, so many of them at most.
-MIN_TEXTS, MIN_Z, MAX_TERMS = 3, 2.5, 20_000
+#: Terms that enter the machine are in so many training texts at least.
+MIN_TEXTS = 3
 FACTORS, EPOCHS, RATE, RIDGE = 4, 12, 0.1, 2e-3
 DECISION = 0.5
 #: Words whose terms a task remembers at once.
@@ -65,6 +66,11 @@ class TermCache(dict):
         return sorted(found)
 
 
+def _share(at) -> float:
+    """The value of each term of a text: its terms have length 1 together, so long texts do not drown in pairs."""
+    return 1 / sqrt(max(len(at), 1))
+
+
 @dataclass(frozen=True)
 class Machine:
     """Bias, weight and factors per known term."""
@@ -77,33 +83,27 @@ class Machine:
     def raw(self, at: list[int]) -> float:
         if not at:
             return self.bias
-        v = self.factors[at]
+        v = self.factors[at] * _share(at)
         pairs = 0.5 * float((v.sum(axis=0) ** 2 - (v**2).sum(axis=0)).sum())
-        return self.bias + float(self.weights[at].sum()) + pairs
+        return self.bias + float(self.weights[at].sum()) * _share(at) + pairs
 
     def score(self, at: list[int]) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.raw(at), -30, 30))))
 
 
-def _chosen(samples: list[np.ndarray], labels: np.ndarray) -> dict[int, int]:
-    """The terms whose log odds differ most clearly between the classes."""
+def _chosen(samples: list[np.ndarray]) -> dict[int, int]:
+    """The terms of at least MIN_TEXTS texts; which of them count, alone or in pairs, the machine learns."""
     if not samples:
         return {}
-    size = 1 << HASH_BITS
-    seen = [np.zeros(size, np.int32), np.zeros(size, np.int32)]
-    for at, y in zip(samples, labels):
-        seen[y][at] += 1
-    terms = np.flatnonzero(seen[0] + seen[1] >= MIN_TEXTS)
-    a, b = seen[1][terms] + 0.5, seen[0][terms] + 0.5
-    rest_a, rest_b = (labels == 1).sum() + 1 - a, (labels == 0).sum() + 1 - b
-    z = (np.log(a / rest_a) - np.log(b / rest_b)) / np.sqrt(1 / a + 1 / b + 1 / rest_a + 1 / rest_b)
-    best = np.argsort(-np.abs(z), kind="stable")[:MAX_TERMS]
-    return {int(t): k for k, t in enumerate(terms[best[np.abs(z[best]) >= MIN_Z]])}
+    seen = np.zeros(1 << HASH_BITS, np.int32)
+    for at in samples:
+        seen[at] += 1
+    return {int(t): k for k, t in enumerate(np.flatnonzero(seen >= MIN_TEXTS))}
 
 
 def train(samples: list[np.ndarray], labels: np.ndarray, rate_of_ones: float) -> Machine:
     """Adaptive gradient steps on the logistic loss; the bias is moved to the true rate of label 1."""
-    known = _chosen(samples, labels)
+    known = _chosen(samples)
     rows = [np.array(sorted(known[t] for t in at.tolist() if t in known), int) for at in samples]
     rng = np.random.default_rng(7)
     n = len(known)
@@ -114,14 +114,16 @@ def train(samples: list[np.ndarray], labels: np.ndarray, rate_of_ones: float) ->
     for _ in range(EPOCHS):
         for k in rng.permutation(len(rows)):
             at = rows[k]
-            total = v[at].sum(axis=0)
-            out = bias + w[at].sum() + 0.5 * float((total**2 - (v[at] ** 2).sum(axis=0)).sum())
+            x = _share(at)
+            own = x * v[at]
+            total = own.sum(axis=0)
+            out = bias + x * w[at].sum() + 0.5 * float((total**2 - (own**2).sum(axis=0)).sum())
             error = 1 / (1 + np.exp(-np.clip(out, -30, 30))) - labels[k]
             gb += error * error
             bias -= RATE * error / np.sqrt(gb)
             if len(at):
-                dw = error + RIDGE * w[at]
-                dv = error * (total - v[at]) + RIDGE * v[at]
+                dw = error * x + RIDGE * w[at]
+                dv = error * x * (total - own) + RIDGE * v[at]
                 gw[at] += dw * dw
                 gv[at] += dv * dv
                 w[at] -= RATE * dw / np.sqrt(gw[at])

@@ -19,7 +19,7 @@ from feedlake.llm.quality_qda import score_quality
 from feedlake.llm.secret_scan import find_secrets, mask_secrets, secret_report
 from feedlake.llm.token_files import bits_for, pack_bits, read_ids, read_token_files, token_file_report, unpack_bits, write_token_files
 from feedlake.llm.tokens import byte_encoder, vocabulary_path, word_encoder
-from feedlake.llm.toxicity_fm import score_toxicity
+from feedlake.llm.toxicity_fm import TermCache, score_toxicity, train
 from feedlake.llm.url_tree import host_and_path, judge_urls
 
 SF = "/root/testdata/sf0.001"
@@ -401,6 +401,18 @@ def test_held_out_accuracy(spark, score, label, least):
     assert score(documents(spark, []), labels.limit(0)).count() == 0
 
 
+def test_terms_that_are_toxic_only_together():
+    """Each of two terms is as frequent in clean as in toxic texts; they are clean one by one."""
+    rng, cache = np.random.default_rng(1), TermCache()
+    pairs = [["groupe", "insulte"], ["groupe"], ["insulte"], []]
+    texts = [" ".join([*rng.choice([f"w{k}" for k in range(300)], 25), *pairs[k % 4]]) for k in range(1600)]
+    toxic = np.array([k % 4 in (0, 3) for k in range(1600)], int)
+    machine = train([np.array(cache.terms(t)) for t in texts[:1200]], toxic[:1200], 0.5)
+    known = TermCache(machine.known)
+    right = [(machine.score(known.terms(t)) >= 0.5) == y for t, y in zip(texts[1200:], toxic[1200:])]
+    assert np.mean(right) > 0.9
+
+
 def test_main_text():
     page = (
         "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><article><h1>Head &amp; line</h1>"
