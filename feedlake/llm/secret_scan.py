@@ -11,11 +11,10 @@ they hide is reported at each of their places.
 from __future__ import annotations
 
 import base64
-import binascii
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -38,6 +37,20 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Base64 over lines of at least 64 columns, as mail and key files wrap it; the last line may be shorter and be closed by a mark.
+_WRAPPED = re.compile(
+    r"[A-Za-z0-9+/_-]{64,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]{64,}+(?=[ \t]*+\r?\n))*"
+    r"""[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++={0,2}+(?=[ \t]*+(?:[\r\n"'`<),;\]}]|\Z))"""
+)
+_STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: Where an escaped gzip or zlib stream begins, and the bytes that follow, escaped or as they are.
+_URL_STREAM = re.compile(r"(?:%1[fF]%8[bB]|(?:x|%78)(?:%01|%5[eE]|\^|%9[cC]|%[dD][aA]))(?:%[0-9A-Fa-f]{2}|[!-$&-~])*")
+_ESCAPED_STREAM = re.compile(
+    r"(?:\\(?:x|u00)1[fF]\\(?:x|u00)8[bB]|(?:x|\\(?:x|u00)78)(?:\^|\\(?:x|u00)(?:01|5[eE]|9[cC]|[dD][aA])))"
+    r"""(?:\\(?:x|u00)[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"]|[ -\[\]-~])*"""
+)
+_ESCAPED_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|\\(?:x|u00)([0-9A-Fa-f]{2})|\\(.)|(.)")
+_SHORT = dict(zip("abfnrtv0", b"\a\b\f\n\r\t\v\0"))
 #: A compressed stream is scanned whole, in windows of about so many bytes, so that a small one cannot fill a task's memory.
 WINDOW = 1 << 20
 
@@ -138,7 +151,7 @@ def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
 
 def _unpacked(data: bytes) -> Iterator[bytes] | None:
     """The content of a compressed stream, however often it was compressed; None if it is not compressed."""
-    chunks, head, opened = iter([data]), data, False
+    chunks, head, opened = iter([data]), data, False  # data may be a view
     while head[:2] == b"\x1f\x8b" or head[:1] == b"\x78":
         try:
             inner = _inflated(chunks if not opened else chain([head], chunks))
@@ -168,25 +181,41 @@ def _line_windows(parts: Iterator[bytes]) -> Iterator[bytes]:
         yield bytes(held)
 
 
+def _texts(data: bytes) -> Iterator[str]:
+    """The windows of each compressed stream that begins anywhere in some bytes, then the bytes as text, printable or not."""
+    view = memoryview(data)
+    for at in sorted({0, *(m.start() for m in _STREAM.finditer(data))}):
+        parts = _unpacked(view[at:])
+        if parts is not None:
+            yield from (window.decode("utf-8", "replace") for window in _line_windows(parts))
+    yield data.decode("utf-8", "replace")
+
+
 def _decoded(run: str) -> Iterator[str]:
-    """The texts that a base64 run encodes: one, or the windows of a compressed stream."""
-    run = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
-        run = run[:-1]
-    try:
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-    except (binascii.Error, ValueError):
-        return
-    parts = _unpacked(data)
-    if parts is not None:
-        yield from (window.decode("utf-8", "replace") for window in _line_windows(parts))
-        return
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return
-    if text and all(c.isprintable() or c in "\t\r\n" for c in text):
-        yield text
+    """The texts that a base64 run encodes, over line ends and in all four alignments: other characters may stand before it."""
+    run = "".join(run.split()).partition("=")[0].replace("-", "+").replace("_", "/")
+    for skip in range(4):
+        part = run[skip:]
+        if len(part) % 4 == 1:
+            part = part[:-1]
+        yield from _texts(base64.b64decode(part + "=" * (-len(part) % 4)))
+
+
+def _unescaped(run: str) -> Iterator[str]:
+    """The texts of an escaped stream."""
+    data = bytearray()
+    for m in _ESCAPED_BYTE.finditer(run):
+        code = m[1] or m[2]
+        data.append(int(code, 16) if code else _SHORT.get(m[3], ord(m[3])) if m[3] else ord(m[4]))
+    yield from _texts(bytes(data))
+
+
+def _runs(text: str) -> Iterator[tuple[int, int, Callable[[str], Iterator[str]]]]:
+    """Start, end and decoder of all that is encoded as bytes in a text."""
+    for pattern, decoder in ((_BASE64, _decoded), (_WRAPPED, _decoded), (_URL_STREAM, _unescaped), (_ESCAPED_STREAM, _unescaped)):
+        if (pattern is _URL_STREAM and "%" not in text) or (pattern is _ESCAPED_STREAM and "\\" not in text):
+            continue
+        yield from ((m.start(), m.end(), decoder) for m in pattern.finditer(text))
 
 
 def _opened(text: str) -> Iterator[str]:
@@ -194,15 +223,15 @@ def _opened(text: str) -> Iterator[str]:
     for find in (_url_parts, _escape_parts):
         if found := find(text):
             yield _replaced(text, found)
-    for m in _BASE64.finditer(text):
-        yield from _decoded(m[0])
+    for start, end, decoder in _runs(text):
+        yield from decoder(text[start:end])
 
 
-def _hidden(run: str) -> set[str]:
-    """The kinds of findings in all that a base64 run encodes, however deep; their place is that of the run."""
+def _hidden(texts: Iterator[str]) -> set[str]:
+    """The kinds of findings in the texts of an encoded run and in all that they encode; their place is that of the run."""
     kinds: set[str] = set()
     seen: set[bytes] = set()
-    work = [_decoded(run)]  # depth first, so one window of a stream is held at a time
+    work = [texts]  # depth first, so one window of a stream is held at a time
     while work and len(kinds) < len(KINDS):
         text = next(work[-1], None)
         if text is None:
@@ -236,11 +265,12 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
             for kind, start, end in matches(layer.text):
                 low, high = layer.span(start, end)
                 more.add((low, kind, high))
-        for m in _BASE64.finditer(layer.text):
-            if (kinds := hidden.get(m[0])) is None:
-                kinds = hidden[m[0]] = _hidden(m[0])
+        for start, end, decoder in _runs(layer.text):
+            run = layer.text[start:end]
+            if (kinds := hidden.get(run)) is None:
+                kinds = hidden[run] = _hidden(decoder(run))
             if kinds:
-                low, high = layer.span(m.start(), m.end())
+                low, high = layer.span(start, end)
                 more.update((low, kind, high) for kind in kinds)
         for find in (_url_parts, _escape_parts):
             if found := find(layer.text):

@@ -340,6 +340,27 @@ def test_repeated_encoded_secrets_are_found_at_each_place(spark):
     assert got == " \n".join(["[assign]"] * len(runs))
 
 
+def test_secrets_in_any_alignment_line_or_container():
+    import gzip
+    import textwrap
+    import zlib
+    from urllib.parse import quote
+
+    secret = b"password = Zq8fK2mWx91LpT"
+    plain, noise = base64.b64encode(secret).decode(), np.random.default_rng(1).bytes(300)
+    long = base64.b64encode(gzip.compress(noise + b"\n" + secret)).decode()
+    packed = gzip.compress(secret), zlib.compress(secret)
+    hidden = [f"{start}{plain}" for start in ("/path/", "key-", "id_", "x/")]
+    hidden += ["\n".join(textwrap.wrap(long, n)) for n in (64, 76)] + ["/a/" + base64.b64encode(packed[0]).decode()]
+    hidden += [base64.b64encode(odd + secret + odd).decode() for odd in (b"\0", b"\xc2\xa0", b"\xe2\x80\x8b", b"\xff")]
+    for data in packed:
+        hidden += [quote(data, safe=""), "".join(f"%{x:02x}" for x in data), repr(data)[2:-1], "".join(f"\\x{x:02x}" for x in data), "".join(f"\\u{x:04x}" for x in data)]
+    for run in hidden:
+        more = find_secrets(f"see {run}\nmore words there")[1]
+        assert any(kind == "assign" and 4 <= a < b <= 4 + len(run) for a, kind, b in more), run
+    assert find_secrets("a_long_identifier_of_a_program\nword\n" + base64.b64encode(noise).decode()) == ([], [])
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = documents(spark, [*ODD, (30, "token: abcdefghijkl99 end")])
     got = mask_secrets(docs)
