@@ -128,12 +128,12 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         def step(rows):
             out = {"doc_id": [], "start": [], "n_tokens": [], "ids": []}
             for begin, before, doc_ids, ends, width, offsets, data in zip(*rows.values()):
-                start = 0
-                for doc_id, end in zip(doc_ids, ends):
-                    own = read_ids(data, width, offsets, start, end)
-                    for name, value in zip(out, (doc_id, begin + before + start, end - start, own.astype("<u4").tobytes())):
-                        out[name].append(value)
-                    start = end
+                ids = read_ids(data, width, offsets, 0, ends[-1]).astype("<u4").tobytes()  # each block once
+                starts = [0, *ends[:-1]]
+                out["doc_id"] += doc_ids
+                out["start"] += [begin + before + start for start in starts]
+                out["n_tokens"] += [end - start for start, end in zip(starts, ends)]
+                out["ids"] += [ids[4 * start : 4 * end] for start, end in zip(starts, ends)]
             return out
 
         return step

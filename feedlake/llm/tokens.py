@@ -1,18 +1,17 @@
 """Token ids of whole texts with the public tokenizers, remembered piece by piece.
 
 Both vocabularies split a text into words before anything is merged, so the ids of a text are those of
-its words in a row, and most words come again and again. A piece is what stands between two
-spaces; a piece of plain letters, digits and signs is split into its words here and each word is given to
-the tokenizer's model, any other piece to the whole tokenizer.
+its words in a row, and most words come again and again. A text of plain letters, digits, signs, spaces and line ends
+is split into its words here, and each word is given to the tokenizer's model once. In any other text a piece is what
+stands between two spaces; plain pieces are split into words as well, other pieces go to the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from functools import cache
 
-import numpy as np
-
 #: Entries that a task's memory of pieces and of words holds at once, each.
 REMEMBERED = 400_000
 #: Longer ones are encoded anew each time.
@@ -23,6 +22,8 @@ _SIGNS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"  # without the apostrophe, whic
 _PLAIN = re.compile(rf"(?:[{_LETTERS}]+|[0-9]+|[{_SIGNS}]+|\n(?=[^\n]))+")
 _WORDS = re.compile(rf"[{_LETTERS}]+|[0-9]+|[{_SIGNS}]+|\n")
 _SINGLE_DIGITS = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+_NOT_PLAIN = re.compile(rf"[^{_LETTERS}0-9{_SIGNS} \n]|<\|")
+_TEXT_WORDS = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_SIGNS}]+|\s+(?!\S)|\s+")
 _AFTER_WORD = re.compile(r"(?<=\S) ")
 _ODD_SPACES = re.compile(r"^ |\s ")
 
@@ -74,11 +75,13 @@ class Encoder:
         self.later = Remembered(lambda piece: self._piece(" ", piece)) if spaces_belong else self.first
 
     def _word(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word.translate(self.table))], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(word.translate(self.table))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, lead: str, piece: str) -> bytes:
         if not _PLAIN.fullmatch(piece) or "<|" in piece or (lead and piece[0] == "\n"):
-            return np.array(self.tokenizer.encode(lead + piece, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self.tokenizer.encode(lead + piece, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         if not self.spaces_belong:
             return b"".join(map(self.words.__getitem__, _SINGLE_DIGITS.findall(piece.lower())))
         words = _WORDS.findall(piece)
@@ -89,6 +92,9 @@ class Encoder:
         """The ids of a whole text; none for a null or empty one."""
         if not text:
             return b""
+        if not _NOT_PLAIN.search(text):
+            found = _TEXT_WORDS.findall(text) if self.spaces_belong else _SINGLE_DIGITS.findall(text.lower())
+            return b"".join(map(self.words.__getitem__, found))
         if not self.spaces_belong:
             return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
         pieces = text.split(" ") if not _ODD_SPACES.search(text) else _AFTER_WORD.split(text)
