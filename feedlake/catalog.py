@@ -11,6 +11,7 @@ from typing import Any
 from pyspark.sql import types as T
 
 from .errors import ValidationError
+from .functions.lattice import joined
 from .functions.selector import Selector, entries
 
 
@@ -33,9 +34,11 @@ class EntitySpec:
     stable_sort_field: str | None = "id"
     schema: T.StructType | None = field(default=None, compare=False)
 
-    def record_schema(self) -> T.StructType:
-        """Schema of one landed record."""
-        return self.schema or derive_schema(self.fields, self.explode_columns, self.path)
+    def record_schema(self, found: T.StructType | None = None) -> T.StructType:
+        """Schema of one record: the given one, else that of the landed records, else a guess from the names."""
+        if self.schema or found is None:
+            return self.schema or derive_schema(self.fields, self.explode_columns, self.path)
+        return complete_schema(found, self.fields, self.explode_columns, self.path)
 
 
 def entity_from_metadata(name: str, payload: dict[str, Any]) -> EntitySpec:
@@ -71,13 +74,12 @@ _EXCEPTIONS: dict[str, T.DataType] = {
     "ledger/account.number": T.LongType(),
 }
 
-# Groups that hold a list of objects; the exploding entity proves the first, the rest go by their plural names.
+# Guesses for a read that lands no record to tell: groups that hold a list of objects (the exploding entity proves the first,
+# the rest go by their plural names), and what an object that is requested whole has at least.
 LIST_GROUPS = frozenset({
     "bankAccountPresentation", "employments", "holidayAllowanceEarned", "legalVatTypes", "orderLines",
     "projectHourlyRates", "participants", "projectActivities",
 })
-
-# Objects that an entity requests whole: the fields that land.
 WHOLE_OBJECTS = {"account": ("id", "number", "name")}
 
 
@@ -104,6 +106,39 @@ def _plain_type(name: str, owner: str) -> T.DataType:
     return next((dtype for rule, dtype in _TYPE_RULES if re.fullmatch(rule, name)), T.StringType())
 
 
+def complete_schema(found: T.StructType, selector: Selector, lists: Collection[str] = (), owner: str = "") -> T.StructType:
+    """The schema of records of type ``found`` under a selector: what a field holds comes from the records, be it an object, a
+    list or a value, and a field that is selected whole keeps all its parts. The guess is left for what no record has
+    shown, and widens whole numbers where the name promises others.
+    """
+    have = {f.name: f.dataType for f in found}
+    guesses = derive_schema(selector, lists, owner)
+    fields = []
+    for name, kids in entries(selector):
+        seen, guess = have.get(name, T.NullType()), guesses[name].dataType
+        dtype = _whole(seen, guess, name) if kids is None else _group(seen, guess, kids, name)
+        fields.append(T.StructField(name, dtype))
+    return T.StructType(fields)
+
+
+def _whole(found: T.DataType, guess: T.DataType, owner: str) -> T.DataType:
+    if isinstance(found, T.NullType):
+        return guess
+    if isinstance(found, T.ArrayType):
+        return T.ArrayType(_whole(found.elementType, T.StringType(), owner))
+    if isinstance(found, T.StructType):
+        return T.StructType([T.StructField(f.name, _whole(f.dataType, _plain_type(f.name, owner), f.name)) for f in found])
+    return joined(found, guess) if isinstance(found, T.NumericType) and isinstance(guess, T.NumericType) else found
+
+
+def _group(found: T.DataType, guess: T.DataType, kids: Selector, owner: str) -> T.DataType:
+    if isinstance(found, T.ArrayType):
+        return T.ArrayType(_group(found.elementType, guess.elementType if isinstance(guess, T.ArrayType) else guess, kids, owner))
+    if isinstance(found, T.StructType):
+        return complete_schema(found, kids, owner=owner)
+    return guess if isinstance(found, T.NullType) else found
+
+
 def _offset(path: str, fields: Selector, *, changed_since: bool = False, explode: tuple[str, ...] = ()) -> EntitySpec:
     return EntitySpec(path, fields, changed_since, Pagination.OFFSET, explode)
 

@@ -1,9 +1,14 @@
-"""Scope keys: one SHA-256 per request shape, shared by every page of that request."""
+"""Scope keys: one hash per request shape, shared by every page of that request.
+
+The hashed text holds name and value of everything that shapes the request, each with its length before it, so no two
+shapes share a text. Bounds of a window come last, which lets a column of windows share the rest.
+"""
 
 from __future__ import annotations
 
-import hashlib
 import json
+from collections.abc import Iterable
+from hashlib import sha256
 from typing import Any
 
 from pyspark.sql import Column
@@ -12,9 +17,15 @@ from pyspark.sql import functions as F
 from .selector import Selector, render
 
 
-def _payload(path: str, fields: Selector, sort_field: str | None, params: dict[str, Any] | None) -> dict[str, Any]:
-    payload: dict[str, Any] = {"fields": render(fields), "path": path, "stable_sort_field": sort_field}
-    return {**payload, "extra_params": params} if params else payload
+def canonical(named: Iterable[tuple[str, str | None]]) -> str:
+    """The pairs as one text, in their order; a missing value is a dash."""
+    return "".join(f"{len(name)}:{name}" + ("-" if value is None else f"{len(value)}:{value}") for name, value in named)
+
+
+def request_text(path: str, fields: Selector, sort_field: str | None, params: dict[str, Any] | None) -> str:
+    """What a request asks for, without its window; filters in the order of their names."""
+    filters = [(f"?{name}", json.dumps(value, sort_keys=True, default=str)) for name, value in sorted((params or {}).items())]
+    return canonical([("path", path), ("select", render(fields)), ("order", sort_field or None), *filters])
 
 
 def scope_key(
@@ -25,10 +36,8 @@ def scope_key(
     window: tuple[str, str] | None = None,
 ) -> str:
     """Key of one request: page position and size are not part of it."""
-    payload = _payload(path, fields, sort_field, params)
-    if window:
-        payload |= {"dateFrom": window[0], "dateTo": window[1]}
-    return hashlib.sha256(json.dumps(payload, sort_keys=True, default=str).encode()).hexdigest()
+    bounds = canonical(zip(("since", "until"), window, strict=True)) if window else ""
+    return sha256((request_text(path, fields, sort_field, params) + bounds).encode()).hexdigest()
 
 
 def window_scope_key(
@@ -39,11 +48,9 @@ def window_scope_key(
     period_from: Column,
     period_to: Column,
 ) -> Column:
-    """:func:`scope_key` for a table of windows; the two bounds sort first in the key's JSON."""
-    rest = json.dumps(_payload(path, fields, sort_field, params), sort_keys=True, default=str)
-    text = F.concat(
-        F.lit('{"dateFrom": "'), period_from.cast("string"),
-        F.lit('", "dateTo": "'), period_to.cast("string"),
-        F.lit('", ' + rest[1:]),
-    )
-    return F.sha2(text, 256)
+    """:func:`scope_key` for a table of windows with date bounds."""
+    parts = [F.lit(request_text(path, fields, sort_field, params))]
+    for name, bound in (("since", period_from), ("until", period_to)):
+        text = bound.cast("string")
+        parts += [F.lit(f"{len(name)}:{name}"), F.length(text).cast("string"), F.lit(":"), text]
+    return F.sha2(F.concat(*parts), 256)

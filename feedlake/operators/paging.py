@@ -68,14 +68,22 @@ def scan_pages(
     fields: Mapping[str, Sequence[str]] | None = None,
     starts: DataFrame | None = None,
     facts: DataFrame | None = None,
+    partial: bool = False,
 ) -> DataFrame:
     """The records of the log, one row each.
 
+    A log in which a scope has failed, has not ended or has a hole is refused, unless ``partial`` asks for the records that
+    came.
+
     ``fields`` maps column names to field paths inside a record; only those leaves are read from the
     files, which exploding whole records and dropping columns later would not achieve. Without it
     the rows have ``request_key`` and all fields. ``starts`` (``request_key, start_offset``) makes it
     a resumed scan: only pages from that offset onward, whole scopes where it names none.
     """
+    if facts is None:
+        facts = landed(log.sparkSession, scope_facts(log), "scope-facts")
+    if not partial:
+        require_whole(log, facts, starts)
     pages = live_pages(log, facts)
     if starts is not None:
         pages = null_safe(pages, sized(starts.select("request_key", "start_offset")), ["request_key"], "left").where(
@@ -87,6 +95,59 @@ def scan_pages(
     return pages.select(F.inline(F.arrays_zip(*leaves)))
 
 
+def require_whole(log: DataFrame, facts: DataFrame, starts: DataFrame | None = None) -> None:
+    """Raise :class:`ReadError` unless every scope of the log has ended and its live pages add up to its end.
+
+    ``starts`` names the offsets from which scopes are wanted (default: 0). A scope answered "not modified" at once has
+    no page and is whole. One aggregate over the page headers; the driver sees a few of the scopes that are not.
+    """
+    pages = live_pages(log.select("request_key", "attempt", "offset", "status", "n_values"), facts)
+    ends = facts.select("request_key", "end_offset", "opened")
+    if starts is None:
+        pages, ends = pages.withColumn("_from", F.lit(0)), ends.withColumn("_from", F.lit(0))
+    else:
+        wanted = sized(starts.select("request_key", F.coalesce("start_offset", F.lit(0)).alias("_start")))
+        pages, ends = [
+            null_safe(side, wanted, ["request_key"], "left").withColumn("_from", F.coalesce("_start", F.lit(0))).drop("_start") for side in (pages, ends)
+        ]
+    sums = pages.where("offset >= _from").groupBy("request_key").agg(F.sum("n_values").alias("_received"))
+    received = F.coalesce("_received", F.lit(0))
+    unmodified = F.col("end_offset").isNotNull() & ~F.col("opened")
+    whole = received == F.greatest(F.col("end_offset") - F.col("_from"), F.lit(0))
+    short = null_safe(ends, sums, ["request_key"], "left").where(~F.coalesce(unmodified | whole, F.lit(False)))
+    found = short.select("request_key", "end_offset", received.alias("n_rows")).limit(5).collect()
+    if found:
+        raise ReadError(
+            f"{len(found)} or more scopes of the page log are not whole, first {found[0]['request_key']!r}; ask for a partial result to read what came",
+            scopes=[row.asDict() for row in found],
+        )
+
+
+def whole_scopes(log: DataFrame) -> DataFrame:
+    """The page log of whole scopes out of those of several runs, told apart by ``run`` (a later run has a larger one).
+
+    A resumed scope lies in several logs. What counts are the pages of its last run, and those of earlier runs before the
+    offset where a later one went on, as long as they have the digest of the last. A run in which the scope was not modified
+    adds nothing. The table of scopes and runs comes from one aggregate over the headers; pages are only joined with it.
+    """
+    data = log.where((F.col("status") != NOT_MODIFIED) & F.col("n_values").isNotNull())
+    heads = data.groupBy("request_key", "run").agg(
+        F.max(F.struct("attempt", (-F.col("offset")).alias("back"), "version_digest")).alias("head")
+    ).select(
+        "request_key", "run", F.col("head.attempt").alias("_attempt"), (-F.col("head.back")).alias("_start"),
+        F.col("head.version_digest").alias("_digest"),
+    )
+    later = Window.partitionBy("request_key").orderBy(F.desc("run"))
+    heads = heads.select(
+        "*", F.first("_digest").over(later).alias("_last"), F.row_number().over(later).alias("_age"),
+        F.min("_start").over(later.rowsBetween(Window.unboundedPreceding, -1)).alias("_until"),
+    )
+    heads = heads.where((F.col("_age") == 1) | (F.col("_digest") == F.col("_last"))).drop("_start", "_digest", "_last", "_age")
+    pages = null_safe(data, sized(landed(log.sparkSession, heads, "run-heads")), ["request_key", "run"])
+    counts = (F.col("attempt") == F.col("_attempt")) & (F.col("_until").isNull() | (F.col("offset") < F.col("_until")))
+    return pages.where(counts).withColumn("attempt", F.lit(1)).drop("_attempt", "_until", "run")
+
+
 def scope_report(log: DataFrame) -> DataFrame:
     """Per scope: pages, rows, and whether it is complete, contiguous and of one digest.
 

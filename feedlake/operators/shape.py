@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import ReadError
+from ..functions.lattice import joined, shaped
 
 SEPARATOR = "_"
 
@@ -83,5 +84,19 @@ def explode_lists(df: DataFrame, columns: Sequence[str], sep: str = SEPARATOR) -
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
-    """Bag union by column name; columns that a frame lacks are null. Nothing is de-duplicated."""
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    """Bag union by column name; columns that a frame lacks are null. Nothing is de-duplicated.
+
+    A column takes the least type that holds those of all frames: whole numbers widen, numbers beside text become text, and
+    objects and lists are joined by their parts.
+    """
+    names = distinct_names([(name, None) for name in dict.fromkeys(c for frame in frames for c in frame.columns)])
+    types = {name: reduce(joined, [f.schema[name].dataType for f in frames if name in f.columns]) for name in names}
+
+    def widened(frame: DataFrame) -> DataFrame:
+        have = {f.name: f.dataType for f in frame.schema}
+        return frame.select([
+            (shaped(F.col(f"`{name}`"), have[name], want) if name in have else F.lit(None).cast(want)).alias(name)
+            for name, want in types.items()
+        ])
+
+    return reduce(DataFrame.union, map(widened, frames))

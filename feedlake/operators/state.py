@@ -1,7 +1,7 @@
 """The checkpoint as a table ``request_key, kind, value``: watermarks and resume positions.
 
 Watermarks are of kind ``digest`` or ``changed_since``; ``resume_offset`` and ``resume_digest`` mark
-where a failed scan stopped. A null digest means the scope counts as changed every time.
+where a failed scan stopped. A null digest means the scope counts as changed every time. A null scope is a scope.
 """
 
 from __future__ import annotations
@@ -9,20 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import null_safe
+
 WATERMARKS = ("digest", "changed_since")
 RESUMES = ("resume_offset", "resume_digest")
 STATE_SCHEMA = "request_key string, kind string, value string"
 
 
-def committed_state(old: DataFrame, new: DataFrame) -> DataFrame:
+def committed_state(old: DataFrame, new: DataFrame, scopes: DataFrame | None = None) -> DataFrame:
     """State after a full success: new watermarks win, others are kept, no resume entries remain.
 
-    A new null digest also wins, so presence decides, not ``coalesce``.
+    A new null digest also wins, so presence decides, not ``coalesce``. ``scopes`` (``request_key``) are those that were read;
+    with it, only their resume entries go, and those of readers of other scopes remain.
     """
-    is_mark = F.col("kind").isin(*WATERMARKS)
-    fresh = new.where(is_mark).select("request_key", "kind", F.col("value").alias("_new"), F.lit(True).alias("_is_new"))
-    merged = old.where(is_mark).join(fresh, ["request_key", "kind"], "full")
-    return merged.select("request_key", "kind", F.when(F.col("_is_new"), F.col("_new")).otherwise(F.col("value")).alias("value"))
+    marks = [
+        side.where(F.col("kind").isin(*WATERMARKS)).select("request_key", "kind", "value", F.lit(rank).alias("_rank"))
+        for rank, side in enumerate((old, new))
+    ]
+    merged = marks[0].unionByName(marks[1]).groupBy("request_key", "kind").agg(F.max_by("value", "_rank").alias("value"))
+    if scopes is None:
+        return merged
+    positions = old.where(F.col("kind").isin(*RESUMES)).select("request_key", "kind", "value")
+    return merged.unionByName(null_safe(positions, scopes.select("request_key"), ["request_key"], "left_anti"))
 
 
 def failed_state(old: DataFrame, resume: DataFrame, finished: DataFrame) -> DataFrame:
@@ -32,7 +40,7 @@ def failed_state(old: DataFrame, resume: DataFrame, finished: DataFrame) -> Data
     """
     marks = old.where(F.col("kind").isin(*WATERMARKS)).select("request_key", "kind", "value")
     settled = finished.select("request_key").union(resume.select("request_key")).distinct()
-    carried = old.where(F.col("kind").isin(*RESUMES)).join(settled, "request_key", "left_anti")
+    carried = null_safe(old.where(F.col("kind").isin(*RESUMES)), settled, ["request_key"], "left_anti")
     return marks.unionByName(carried.select("request_key", "kind", "value")).unionByName(
         resume.where(F.col("kind").isin(*RESUMES)).select("request_key", "kind", "value")
     )
@@ -76,6 +84,6 @@ def resume_starts(saved: DataFrame, current: DataFrame) -> DataFrame:
         F.max(F.when(F.col("kind") == "resume_digest", F.col("value"))).alias("_digest"),
     )
     verified = (F.col("_offset") > 0) & (F.col("_digest") == F.col("digest"))
-    return current.join(wide, "request_key", "left").select(
+    return null_safe(current, wide, ["request_key"], "left").select(
         "request_key", F.coalesce(F.when(verified, F.col("_offset")), F.lit(0)).alias("start_offset")
     )

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
 from ..catalog import CATALOG
-from ..functions.selector import render
+from ..functions.keys import request_text
 from .queries import EARLIER_RUN, PAGE
 
 ORDER_FIELDS = "o_orderkey, o_custkey, o_orderstatus, o_orderpriority"
@@ -78,10 +76,7 @@ lines as (
 charged as (select l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, unnest(charges) as charge from lines)"""
 
 _KEY = CATALOG["ledger_posting"]
-_KEY_REST = json.dumps(
-    {"extra_params": {"isOpen": True}, "fields": render(_KEY.fields), "path": _KEY.path,
-     "stable_sort_field": _KEY.stable_sort_field}, sort_keys=True,
-)[1:]
+_KEY_TEXT = request_text(_KEY.path, _KEY.fields, _KEY.stable_sort_field, {"isOpen": True}).replace("'", "''")
 
 MONTH_WINDOWS = """
 spans as (
@@ -155,7 +150,7 @@ ORACLE: dict[str, str] = {
     "scope_key": f"""
         with {MONTH_WINDOWS}
         select distinct period_from, period_to,
-          sha256('{{"dateFrom": "' || period_from || '", "dateTo": "' || period_to || '", {_KEY_REST}') as request_key
+          sha256('{_KEY_TEXT}' || '5:since10:' || period_from || '5:until10:' || period_to) as request_key
         from bounds""",
     "scope_digest": f"select * from {_digests('orders')}",
     "changed_scopes": CHANGED,

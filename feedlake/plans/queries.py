@@ -23,7 +23,7 @@ from ..session import landed, scratch_dir, sized
 from ..sources.page_log import read_page_log
 from ..sources.page_source import decode_pages, read_pages
 from ..sources.replay import ReplayFetch, land_pages, replay_scopes
-from ..streaming.changed_since import stream_changes
+from ..streaming.changed_since import read_changes, stream_changes
 from .reader import scan_entity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,7 +188,7 @@ def changed_since_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_dir(spark, "stream-state")
     query = stream_changes(spark, lambda: _events(spark, sf_dir), "ts", out, checkpoint, since=EVENT_WATERMARK)
     query.awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return read_changes(spark, out, _events(spark, sf_dir).schema)
 
 
 def watermark_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
@@ -20,20 +21,24 @@ from ..errors import PASS_THROUGH, FeedError, ReadError
 from ..functions.dates import watermark_text
 from ..functions.keys import scope_key
 from ..functions.selector import conform, field_type, narrow_schema, render
-from ..operators.paging import scan_pages, scope_facts
+from ..operators.paging import scan_pages, scope_facts, whole_scopes
 from ..operators.shape import SEPARATOR, explode_lists, leaf_paths
 from ..operators.state import (
     STATE_SCHEMA, committed_state, digest_watermarks, failed_state, finished_scopes, resume_entries,
 )
 from ..operators.windows import read_span, window_table
-from ..sources.page_source import RAW_PAGES, decode_pages, read_pages
+from ..session import landed, null_safe, sized
+from ..sources.page_source import RAW_PAGES, decode_pages, found_record, read_pages
 from ..sources.requests import Fetch, ScopeRequest
 from ..sources.state_store import StateStore
+from ..sources.versions import exists
 from ..spec import ReadSettings, reader_kind, resolve
 
 
-def scan_entity(log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR, facts: DataFrame | None = None) -> DataFrame:
-    """The flat rows of an entity from its page log.
+def scan_entity(
+    log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR, facts: DataFrame | None = None, partial: bool = False
+) -> DataFrame:
+    """The flat rows of an entity from its page log; ``partial`` as in :func:`scan_pages`.
 
     Scan, selection and flattening are one step, so only the selected leaves are read from the files
     and one log of a path serves its full and its narrow entities.
@@ -41,7 +46,7 @@ def scan_entity(log: DataFrame, spec: EntitySpec, sep: str = SEPARATOR, facts: D
     record = log.schema["values"].dataType.elementType
     wanted = narrow_schema(record, spec.fields)
     leaves = leaf_paths(wanted, sep)
-    rows = scan_pages(log, leaves, facts=facts)
+    rows = scan_pages(log, leaves, facts=facts, partial=partial)
     flat = rows.select(*[
         conform(F.col(f"`{name}`"), field_type(record, path), field_type(wanted, path)).alias(name)
         for name, path in leaves.items()
@@ -103,11 +108,33 @@ class FeedReader:
                 failure or exc
             )
         if failure is not None:
-            self._store.publish(failed_state(old, resume_entries(facts), finished_scopes(facts)), run_id)
+            self._store.commit(lambda now: failed_state(now, resume_entries(facts), finished_scopes(facts)), run_id)
             raise failure
-        self._store.publish(committed_state(old, self._watermarks(facts, kind, scopes, started)), run_id)
+        # Of another reader that has committed meanwhile only the marks and positions of this read's scopes are replaced.
+        mine = self._spark.createDataFrame([(s.request_key,) for s in scopes], "request_key string")
+        marks = self._watermarks(facts, kind, scopes, started)
+        self._store.commit(lambda now: committed_state(now, marks, mine), run_id)
         return self.output
 
+    def whole(self) -> DataFrame:
+        """The rows of whole scopes out of all runs so far: those before the resume position of a resumed read come from the
+        runs that it resumed. Scopes that have not ended yet are left out.
+        """
+        spec = resolve(self._settings, self._extra)
+        runs = self._store.runs()
+        logs = []
+        for number, run_id in enumerate(runs):
+            folder = f"{self._root}/pages/{run_id}"
+            if exists(self._spark, folder):  # a state that was put in by hand has no pages
+                logs.append(self._spark.read.schema(RAW_PAGES).parquet(folder).withColumn("run", F.lit(number)))
+        if not logs:
+            raise ReadError("nothing has been read yet", path=spec.path)
+        log = whole_scopes(reduce(DataFrame.unionByName, logs))
+        facts = landed(self._spark, scope_facts(log), "whole-facts")
+        ended = null_safe(log, sized(facts.where("end_offset is not null").select("request_key")), ["request_key"], "left_semi")
+        record = narrow_schema(spec.record_schema(None if spec.schema else found_record(ended)), spec.fields)
+        return scan_entity(decode_pages(ended, record), spec, self._settings.sep)
+
     def _scopes(self, spec: EntitySpec, kind: str, old: DataFrame) -> list[ScopeRequest]:
         params: dict[str, Any] = {**(self._settings.params or {})}
         tail = {"fields": render(spec.fields)} | ({"sorting": spec.stable_sort_field} if spec.stable_sort_field else {})
@@ -159,8 +186,8 @@ class FeedReader:
         return error(row["error"], **details)
 
     def _shape(self, log: DataFrame, facts: DataFrame, spec: EntitySpec, run_id: str) -> DataFrame:
-        record = narrow_schema(spec.record_schema(), spec.fields)
-        flat = scan_entity(decode_pages(log, record), spec, self._settings.sep, facts)
+        record = narrow_schema(spec.record_schema(None if spec.schema else found_record(log)), spec.fields)
+        flat = scan_entity(decode_pages(log, record), spec, self._settings.sep, facts, partial=True)
         folder = f"{self._root}/output/{run_id}"
         flat.write.parquet(folder)
         return self._spark.read.schema(flat.schema).parquet(folder)

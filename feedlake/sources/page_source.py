@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import check_status, kind_of
+from ..functions.lattice import found_type
 from ..operators.paging import NOT_MODIFIED
 from ..session import ship_package
 from .requests import Fetch, PageRequest, ScopeRequest
@@ -113,7 +114,8 @@ def read_scope(fetch: Fetch, scope: ScopeRequest) -> Iterator[tuple]:
     while scope.stop_offset is None or offset < scope.stop_offset:
         now = dt.datetime.now(dt.timezone.utc)
         try:
-            answer = fetch(PageRequest(scope.path, {**scope.params, "from": offset, "count": scope.count}, headers))
+            count = scope.count if scope.stop_offset is None else min(scope.count, scope.stop_offset - offset)
+            answer = fetch(PageRequest(scope.path, {**scope.params, "from": offset, "count": count}, headers))
             check_status(answer.status)
             values = answer.body.get("values") or []
             digest = answer.body.get("versionDigest") if scope.conditional else None
@@ -142,3 +144,10 @@ def decode_pages(raw: DataFrame, record: T.StructType) -> DataFrame:
     """
     values = F.from_json("body", T.ArrayType(record), {"mode": "FAILFAST"})
     return raw.withColumn("values", values).drop("body")
+
+
+def found_record(raw: DataFrame) -> T.StructType | None:
+    """The least type of the records in a raw page log; None where it has no record."""
+    bodies = found_type(raw.where("n_values > 0"), "body")
+    record = bodies.elementType if isinstance(bodies, T.ArrayType) else bodies
+    return record if isinstance(record, T.StructType) else None

@@ -39,7 +39,9 @@ class ReplayFetch:
         self._pages: Iterator[dict[str, Any]] = iter(())
 
     def __call__(self, request: PageRequest) -> PageResponse:
-        offset = request.params["from"]
+        offset, count = request.params["from"], request.params.get("count", PAGE_SIZE)
+        if count == 1:
+            return self._row(request.path, offset)
         if (self._scope, self._next) != (request.path, offset):
             self._scope, self._pages = request.path, self._open(request.path, offset)
         page = next(self._pages, None)
@@ -48,6 +50,16 @@ class ReplayFetch:
         self._next = offset + page["n_values"]
         return PageResponse(page["status"], {"values": json.loads(page["body"]), "versionDigest": page["version_digest"]})
 
+    def _row(self, scope: str, offset: int) -> PageResponse:
+        import pyarrow.dataset as ds
+
+        first, n = ds.field("offset"), ds.field("n_values")
+        held = ds.dataset(f"{self._root}/scope={scope}", format="parquet").to_table(filter=(first <= offset) & ((first + n > offset) | (n == 0)))
+        pages = sorted(held.to_pylist(), key=lambda page: page["offset"])
+        page = pages[0] if pages else {"status": 200, "n_values": 0, "version_digest": None}
+        values = json.loads(page["body"])[offset - page["offset"] :][:1] if page["n_values"] else []
+        return PageResponse(page["status"], {"values": values, "versionDigest": page["version_digest"]})
+
     def _open(self, scope: str, offset: int) -> Iterator[dict[str, Any]]:
         import pyarrow.dataset as ds
 

@@ -29,7 +29,7 @@ def test_scan_stops_at_the_first_empty_page_only(spark):
 
 
 def test_scan_of_an_unfinished_scope_keeps_what_has_landed(spark):
-    assert scan(spark, page("k", 0, [1]), page("k", 1, [2])) == [1, 2]
+    assert scan(spark, page("k", 0, [1]), page("k", 1, [2]), partial=True) == [1, 2]
 
 
 def test_scan_empty_and_not_modified_scopes(spark):
@@ -51,7 +51,7 @@ def test_scan_does_not_mix_scopes(spark):
 
 def test_resumed_scan(spark):
     starts = spark.createDataFrame([("a", 2)], "request_key string, start_offset long")
-    got = scan(spark, page("a", 0, [1, 2]), page("a", 2, [3]), page("a", 3, []), page("b", 0, [9]), starts=starts)
+    got = scan(spark, page("a", 0, [1, 2]), page("a", 2, [3]), page("a", 3, []), page("b", 0, [9]), starts=starts, partial=True)
     assert got == [3, 9]
 
 
