@@ -106,6 +106,28 @@ def test_join_equals_brute_force_on_the_table(spark, texts):
     assert got == brute_groups(texts.items())
 
 
+def test_rows_of_one_id_link_with_their_own_texts(spark):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(30, " ".join(words[::-1])), (20, " ".join(words)), (20, "some other words in this row"), (10, " ".join([*words, "x"])), (10, " ".join([*words, "x"]))]
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard_groups(documents(spark, [*rows, (20, " ".join([*words[::-1], "y"]))])).collect()}
+    assert set(got.values()) == {10}
+    kept = keep_one_each(documents(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [10, 30]
+
+
+def test_a_large_cluster_of_near_copies_comes_together(spark):
+    rng = np.random.default_rng(9)
+    base = [f"w{k}" for k in range(120)]
+    pairs = []
+    for k in range(150):
+        text = list(base)
+        for at in rng.choice(120, 4, replace=False):
+            text[at] = f"e{rng.integers(10**6)}"
+        pairs.append((k + 1, " ".join(text)))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_groups(documents(spark, pairs)).collect()}
+    assert got == brute_groups(pairs)
+
+
 def test_join_of_odd_rows(spark):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_groups(documents(spark, ODD)).collect()), key=repr)
     assert [x for x in got if x[0] in (1, 2, 3)] == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
