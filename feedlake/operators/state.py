@@ -16,21 +16,16 @@ RESUMES = ("resume_offset", "resume_digest")
 STATE_SCHEMA = "request_key string, kind string, value string"
 
 
-def committed_state(old: DataFrame, new: DataFrame, scopes: DataFrame | None = None) -> DataFrame:
+def committed_state(old: DataFrame, new: DataFrame) -> DataFrame:
     """State after a full success: new watermarks win, others are kept, no resume entries remain.
 
-    A new null digest also wins, so presence decides, not ``coalesce``. ``scopes`` (``request_key``) are those that were read;
-    with it, only their resume entries go, and those of readers of other scopes remain.
+    A new null digest also wins, so presence decides, not ``coalesce``.
     """
     marks = [
         side.where(F.col("kind").isin(*WATERMARKS)).select("request_key", "kind", "value", F.lit(rank).alias("_rank"))
         for rank, side in enumerate((old, new))
     ]
-    merged = marks[0].unionByName(marks[1]).groupBy("request_key", "kind").agg(F.max_by("value", "_rank").alias("value"))
-    if scopes is None:
-        return merged
-    positions = old.where(F.col("kind").isin(*RESUMES)).select("request_key", "kind", "value")
-    return merged.unionByName(null_safe(positions, scopes.select("request_key"), ["request_key"], "left_anti"))
+    return marks[0].unionByName(marks[1]).groupBy("request_key", "kind").agg(F.max_by("value", "_rank").alias("value"))
 
 
 def failed_state(old: DataFrame, resume: DataFrame, finished: DataFrame) -> DataFrame:

@@ -110,10 +110,8 @@ class FeedReader:
         if failure is not None:
             self._store.commit(lambda now: failed_state(now, resume_entries(facts), finished_scopes(facts)), run_id)
             raise failure
-        # Of another reader that has committed meanwhile only the marks and positions of this read's scopes are replaced.
-        mine = self._spark.createDataFrame([(s.request_key,) for s in scopes], "request_key string")
         marks = self._watermarks(facts, kind, scopes, started)
-        self._store.commit(lambda now: committed_state(now, marks, mine), run_id)
+        self._store.commit(lambda now: committed_state(now, marks), run_id)
         return self.output
 
     def whole(self) -> DataFrame:

@@ -195,13 +195,6 @@ def test_two_readers_commit_both_watermarks(spark, tmp_path):
     assert store.runs() == ["run-b", "run-a"]
 
 
-def test_a_commit_leaves_the_positions_of_other_scopes(spark):
-    old = spark.createDataFrame([("a", "resume_offset", "5"), ("b", "resume_offset", "7"), (None, "resume_offset", "9")], state.STATE_SCHEMA)
-    done = spark.createDataFrame([("a",), (None,)], "request_key string")
-    assert rows(state.committed_state(old, old.limit(0), done)) == [("b", "resume_offset", "7")]
-    assert rows(state.committed_state(old, old.limit(0))) == []
-
-
 # Balances
 
 
