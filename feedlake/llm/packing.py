@@ -15,7 +15,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import map_lists
 from feedlake.llm.tokens import byte_encoder
 from feedlake.session import scratch_dir, ship_package
 
@@ -35,7 +34,6 @@ class Packer:
         self.next_id, self.window, self.most_open = first_id, window, most_open
         self.open: list[tuple[int, list]] = []  # (ids in the window, its pieces)
         self.out: list[tuple] = []
-        self.small = False  # ids fit 16 bits
 
     def add(self, doc_id, start: int, doc_tokens: int, ids: np.ndarray) -> None:
         at = 0
@@ -69,7 +67,7 @@ class Packer:
         offset = 0
         for doc_id, start, doc_tokens, ids in pieces:
             place = (self.next_id, offset) if sequence else (None, None)
-            self.out.append((doc_id, start, len(ids), doc_tokens, *place, ids.astype("<u2" if self.small else "<u4").tobytes()))
+            self.out.append((doc_id, start, len(ids), doc_tokens, *place, ids.astype("<u4", copy=False).tobytes()))
             offset += len(ids)
         self.next_id += sequence
 
@@ -80,8 +78,6 @@ def _packed(rows: DataFrame, level: int, last: bool, encode: bool, make_encoder,
     def run(batches):
         packer = Packer((level << 56) + (TaskContext.get().partitionId() << 32))
         encoder = make_encoder()
-        packer.small = encoder.vocabulary <= 1 << 16
-        kind = "<u2" if packer.small else "<u4"
         end = np.array([END_ID], "<u4").tobytes()
 
         def sent(pending):
@@ -97,7 +93,7 @@ def _packed(rows: DataFrame, level: int, last: bool, encode: bool, make_encoder,
                     packer.add(doc_id, 0, len(ids), ids)
             else:
                 for doc_id, start, doc_tokens, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                    packer.add(doc_id, start, doc_tokens, np.frombuffer(ids, kind))
+                    packer.add(doc_id, start, doc_tokens, np.frombuffer(ids, "<u4"))
             if packer.out:
                 yield sent(packer.out)
                 packer.out = []
@@ -111,7 +107,7 @@ def _packed(rows: DataFrame, level: int, last: bool, encode: bool, make_encoder,
 
 
 def pack_documents(docs: DataFrame, make_encoder=byte_encoder) -> DataFrame:
-    """The pieces of all documents with their places: PIECE columns, ``ids`` as little-endian 16 bits (32 for large vocabularies).
+    """The pieces of all documents with their places: PIECE columns, ``ids`` as little-endian 32 bits.
 
     Every document gets END_ID at its end; a null text counts as empty and is that id alone. Null and repeated doc_ids
     keep their own rows; other columns are not read; an empty table gives an empty result. Nothing is shuffled;
@@ -137,16 +133,4 @@ def pack_documents(docs: DataFrame, make_encoder=byte_encoder) -> DataFrame:
 
 def packing_report(docs: DataFrame) -> DataFrame:
     """The pieces with the crc32 of their ids in place of the ids."""
-    pieces = pack_documents(docs)
-
-    def make():
-        from zlib import crc32
-
-        def step(rows):
-            wide = [np.frombuffer(b, "<u2" if len(b) == 2 * n else "<u4").astype("<u4").tobytes() for b, n in zip(rows["ids"], rows["length"])]
-            return {name: rows[name] for name in _NAMES[:-1]} | {"ids_crc32": [crc32(b) for b in wide]}
-
-        return step
-
-    schema = PIECE.replace("ids binary", "ids_crc32 long")
-    return map_lists(pieces, make, schema)
+    return pack_documents(docs).select(*_NAMES[:-1], F.crc32("ids").alias("ids_crc32"))

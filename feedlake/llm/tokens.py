@@ -13,7 +13,7 @@ import struct
 from functools import cache
 
 #: Entries that a task's memory of pieces and of words holds at once, each.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Longer ones are encoded anew each time.
 MAX_REMEMBERED = 48
 
@@ -75,7 +75,8 @@ class Encoder:
         self.later = Remembered(lambda piece: self._piece(" ", piece)) if spaces_belong else self.first
 
     def _word(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.translate(self.table))]
+        plain = word.isascii() and word.isalpha()
+        ids = [t.id for t in self.model.tokenize(word if plain else word.translate(self.table))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, lead: str, piece: str) -> bytes:
