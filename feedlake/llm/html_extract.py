@@ -9,6 +9,7 @@ container and those siblings that score close to it are kept. Parts that never a
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -35,15 +36,18 @@ _CUT_WORDS = frozenset(
     " promotion recommended related reply replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget"
     " reactions discussion disclaimer".split()
 )
+#: These are cut only at the end of a name or before one of the words below: a ``meta-analysis`` is text.
+_CUT_ENDS = frozenset("meta social share".split())
+_CUT_NEXT = frozenset("info data box bar button buttons link links icon icons list block wrapper container media item items section area tools".split())
 _KEEP_WORDS = frozenset("article body content entry main post story text".split())
 _WORDS = re.compile(r"[a-z]+")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 
 #: A sibling of the best container is kept from this share of its score.
 SIBLING_SHARE = 0.2
@@ -51,6 +55,10 @@ SIBLING_SHARE = 0.2
 LINK_SHARE = 0.5
 
 
+#: Marks the end of an article among the parts that are still to be read.
+_END = object()
+
+
 class Node:
     """An element; ``items`` are its texts (str) and elements in order."""
 
@@ -68,6 +76,7 @@ def parse(html: str) -> Node:
     """A tolerant tree: unknown ends are ignored, open elements end with their parent."""
     root = Node("html")
     here, at = root, 0
+    open_tags: Counter[str] = Counter()  # so that an end without a beginning is not looked for in a deep tree
     while True:
         m = _TOKEN.search(html, at)
         text = html[at : m.start()] if m else html[at:]
@@ -83,11 +92,12 @@ def parse(html: str) -> Node:
             continue
         tag = m["tag"].lower()
         if m["end"]:
-            here = _closed(here, tag)
+            if open_tags[tag]:
+                here = _left(here, _closed(here, tag), open_tags)
         elif tag in ("html", "body"):
             root.attrs = root.attrs or ""
         else:
-            here = _opened(here, tag)
+            here = _left(here, _opened(here, tag, open_tags), open_tags)
             node = Node(tag, m["attrs"], here)
             here.items.append(node)
             if tag in _RAW and not m["attrs"].rstrip().endswith("/"):
@@ -95,18 +105,29 @@ def parse(html: str) -> Node:
                 at = end.end() if end else len(html)
             elif tag not in _VOID and tag not in _RAW:
                 here = node
+                open_tags[tag] += 1
+
+
+def _left(here: Node, to: Node, open_tags: Counter[str]) -> Node:
+    """``to``, an ancestor of ``here``, once all elements below it are closed."""
+    while here is not to:
+        open_tags[here.tag] -= 1
+        here = here.parent
+    return to
 
 
-def _opened(here: Node, tag: str) -> Node:
+def _opened(here: Node, tag: str, open_tags: Counter[str]) -> Node:
     """The parent for a new element: an open paragraph or list item ends where the new one cannot stand in it."""
-    if tag in _ENDS_P:
+    if tag in _ENDS_P and open_tags["p"]:
         node = here
         while node and node.tag not in _BLOCK:
             node = node.parent
         if node is not None and node.tag == "p":
             here = node.parent
+    if not any(open_tags[other] for other in _CLOSES.get(tag, ())):
+        return here
     node = here
-    while tag in _CLOSES and node and node.parent and node.tag not in _SCOPE:
+    while node and node.parent and node.tag not in _SCOPE:
         if node.tag in _CLOSES[tag]:
             here = node.parent
         node = node.parent
@@ -144,6 +165,7 @@ def _is_cut(node: Node) -> bool:
         return bool(words & {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo"})
     for name in re.split(r"\s+", f"{have.get('class', '')} {have.get('id', '')}".lower()):
         words = _WORDS.findall(name)
+        words = [w for w, after in zip(words, [*words[1:], ""]) if w not in _CUT_ENDS or not after or after in _CUT_NEXT]
         if words and not _CUT_WORDS.isdisjoint(words) and _KEEP_WORDS.isdisjoint(words[-1:]):
             return True
     return False
@@ -225,21 +247,24 @@ def _score(nodes: list[Node]) -> Node | None:
 
 def _kept_parts(best: Node) -> list[Node]:
     """The best container with the siblings that score close to it or are running text themselves."""
-    if best.parent is None or best.tag in ("article", "main"):
+    if best.parent is None:
         return [best]
+    alone = best.tag in ("article", "main")  # says itself where the text ends; only what scores like it stands beside it
     kept = []
     for x in best.parent.elements():
         near = x.score >= SIBLING_SHARE * best.score
         running = x.tag == "p" and x.text_n > 80 and _link_share(x) < 0.25
         heading = x.tag in ("h1", "h2", "h3")
-        if x is best or near or running or heading:
+        if x is best or near or not alone and (running or heading):
             kept.append(x)
     return kept
 
 
 def _blocks(parts: list[Node]) -> list[str]:
-    """Texts of the blocks below ``parts`` in page order, white space folded; lists made of links are menus and go."""
+    """Texts of the blocks below ``parts`` in page order, white space folded; lists made of links are menus and go, but not within an article."""
     blocks, run = [], []
+    article = {id(x) for x in parts if x.tag in ("article", "main") or _inside(x, "article")}
+    depth = 0  # how many of the parts' articles are open
 
     def flush() -> None:
         text = " ".join("".join(run).split())
@@ -252,14 +277,19 @@ def _blocks(parts: list[Node]) -> list[str]:
         x = work.pop()
         if x is None:
             flush()
+        elif x is _END:
+            depth -= 1
         elif isinstance(x, str):
             run.append(x)
         elif x.tag in ("br", "hr"):
             run.append(" ")
-        elif x.tag in ("ul", "ol", "div", "section", "table") and _link_share(x) > LINK_SHARE:
+        elif not depth and x.tag in ("ul", "ol", "div", "section", "table") and id(x) not in article and _link_share(x) > LINK_SHARE:
             continue
         elif x.tag in _BLOCK:
             flush()
+            if x.tag == "article" or id(x) in article:
+                depth += 1
+                work.append(_END)
             work.append(None)
             work.extend(reversed(x.items))
         else:
