@@ -1,7 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds find passages, word alignment scores them.
 
 Every text is searched once for the n-grams of a block of test items. Of each item's n-grams the rarer ones serve as seeds, by
-the number of documents that hold them. Around the seeds that a document shares with an item, Smith-Waterman over words
+the number of documents that hold them. N-grams are taken as they stand and with their middle word left out, on both sides, so an
+item of which every third word was replaced or deleted, or which has a word more after every second, still shares some. Around the seeds that a document shares with an item, Smith-Waterman over words
 finds the best local alignment, so edited and paraphrased copies score as well as exact ones.
 """
 
@@ -68,8 +69,17 @@ def _blocks(benchmark: DataFrame):
         yield [(r["item_id"], r["text"]) for r in items.where(F.pmod("h", F.lit(passes)) == k).orderBy("item_id", "text").collect()]
 
 
-def _grams(words: np.ndarray) -> np.ndarray:
-    return combined(words, min(GRAM, len(words))) if len(words) else np.zeros(0, np.uint64)
+def _grams(words: np.ndarray, size: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of the n-grams of a word sequence; those of GRAM words also with one word left out in the middle."""
+    plain = combined(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+    at = np.arange(len(plain))
+    if size < GRAM or len(words) <= GRAM:
+        return plain, at
+    half = GRAM // 2
+    n = len(words) - GRAM
+    # Both halves of each gapped n-gram side by side, hashed as if they were neighbours.
+    wide = np.stack([words[k + (k >= half) : k + (k >= half) + n] for k in range(GRAM)], axis=1).reshape(-1)
+    return np.concatenate([plain, combined(wide, GRAM)[::GRAM]]), np.concatenate([at, np.arange(n)])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -78,22 +88,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts and items match nothing; a null doc_id or item_id keeps its rows; repeated rows are reported again;
     an item of fewer than GRAM words is one n-gram. Empty tables give an empty result.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = spark.createDataFrame([], LEAK)
+    return _leaks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    found = docs.select("doc_id").where("false").selectExpr("doc_id", *(f"cast(null as {c.split()[1]}) {c.split()[0]}" for c in LEAK.split(", ")))
     for items in _blocks(benchmark):
         found = found.unionByName(_search(docs, items))
     return found
 
 
-LEAK = "doc_id long, item_id long, score double, first_word int, n_words int"
+LEAK = "item_id long, score double, first_word int, n_words int"
 
 
 def _search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+    """The leaks of one block of items; ``doc_id`` may be a key of any type."""
     spark = docs.sparkSession
+    key = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
+    leak = f"{key}, {LEAK}"
     hashes = WordHashes()
     words = [hashes.of(words_of(text)) for _, text in items]
-    owners = [(int(g), k, int(p)) for k, w in enumerate(words) for p, g in enumerate(_grams(w))]
+    owners = [(int(g), k, int(p)) for k, w in enumerate(words) if len(w) for g, p in zip(*_grams(w, min(GRAM, len(w))))]
     short = sorted({len(w) for w in words if 0 < len(w) < GRAM})
     grams = np.unique(np.array([g for g, _, _ in owners], np.uint64))
     shared = spark.sparkContext.broadcast((grams, short))  # the n-grams of one block
@@ -107,9 +122,9 @@ def _search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
                 own = cache.of(words_of(text))
                 hit = set()
                 for size in (*sizes, GRAM):
-                    at = combined(own, size)
-                    place = np.minimum(np.searchsorted(known, at), len(known) - 1)
-                    hit.update(place[known[place] == at].tolist())
+                    grams, _ = _grams(own, size)
+                    place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                    hit.update(place[known[place] == grams].tolist())
                 if hit:
                     for name, value in (("doc_id", doc_id), ("text", text), ("hits", sorted(hit))):
                         out[name].append(value)
@@ -118,8 +133,8 @@ def _search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         return step
 
     if not len(grams):
-        return spark.createDataFrame([], LEAK)
-    near = landed(spark, map_lists(docs, search, "doc_id long, text string, hits array<int>"), "benchmark-near")
+        return spark.createDataFrame([], leak)
+    near = landed(spark, map_lists(docs, search, f"{key}, text string, hits array<int>"), "benchmark-near")
     # At most one row for every n-gram of the block.
     held = {r["hit"]: r["count"] for r in near.select(F.explode("hits").alias("hit")).groupBy("hit").count().collect()}
     place = {int(g): k for k, g in enumerate(grams)}
@@ -150,14 +165,14 @@ def _search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
         return step
 
-    return map_lists(near.select("doc_id", "text"), score, LEAK)
+    return map_lists(near.select("doc_id", "text"), score, leak)
 
 
 def _aligned(own: np.ndarray, seeds, words, sizes) -> dict[int, tuple[float, int, int]]:
     """Item -> the best aligned share and place, over the stretches of the text around its seeds."""
     starts: dict[int, list[int]] = {}
     for size in (*sizes, GRAM):
-        for at, gram in enumerate(combined(own, size).tolist()):
+        for gram, at in zip(*(x.tolist() for x in _grams(own, size))):
             for k, p in seeds.get(gram, ()):
                 starts.setdefault(k, []).append(at - p)
     best = {}
@@ -182,6 +197,12 @@ def _aligned(own: np.ndarray, seeds, words, sizes) -> dict[int, tuple[float, int
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark passage, all their columns unchanged; rows with a null doc_id stay."""
-    bad = landed(docs.sparkSession, find_leaks(docs, benchmark).select("doc_id").distinct(), "benchmark-leaks")
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The documents that hold no benchmark passage, all their columns unchanged.
+
+    Each row is judged by its own text, so rows with a null or repeated doc_id stay or go like others; null texts stay; an empty
+    table stays empty.
+    """
+    digest = F.md5(docs["text"].cast("binary"))
+    found = _leaks(docs.select(digest.alias("doc_id"), "text"), benchmark)
+    bad = landed(docs.sparkSession, found.select(F.col("doc_id").alias("leak")).distinct(), "benchmark-leaks")
+    return docs.join(bad, digest == bad["leak"], "left_anti")

@@ -7,8 +7,10 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
+from feedlake.llm import secret_scan
 from feedlake.llm.common import read
 from feedlake.llm.decontaminate import align, clean_documents, find_leaks, words_of
 from feedlake.llm.html_extract import extract_pages, main_text
@@ -290,6 +292,10 @@ def test_leaks_edited_copies_and_odd_rows(spark):
     assert sorted(got) == [(20, 1), (22, 1)]
     kept = clean_documents(docs, bench)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
+    mixed = documents(spark, [(20, "a clean text"), (20, " ".join(item)), (None, " ".join(item)), (None, "clean"), (3, None)])
+    assert sorted(r["text"] or "" for r in clean_documents(mixed, bench).collect()) == ["", "a clean text", "clean"]
+    clash = mixed.withColumn("leak", F.lit(1)).withColumn("item_id", F.lit(2))
+    assert clean_documents(clash, bench).columns == clash.columns
     assert find_leaks(docs, bench.limit(0)).count() == 0
     assert find_leaks(docs.limit(0), bench).count() == 0
 
@@ -305,6 +311,30 @@ def brute_base(text):
     return [x[2] for x in sorted(out)]
 
 
+@pytest.mark.parametrize("every", [3, 4, 5])
+def test_copies_edited_at_every_few_words(spark, every):
+    """Replaced, deleted and inserted words, against the alignment of every whole text."""
+    rng = np.random.default_rng(every)
+    items = [[f"i{k}w{j}" for j in range(30 + k)] for k in range(8)]
+    docs = []
+    for k, item in enumerate(items):
+        changed = [f"x{j}" if j % every == every - 1 else w for j, w in enumerate(item)]
+        fewer = [w for j, w in enumerate(item) if j % every != every - 1]
+        more = [w for j, w in enumerate(item) for w in ([w, "extra"] if j % every == every - 1 else [w])]
+        around = [f"z{j}" for j in rng.integers(0, 500, 60)]
+        docs += [(100 * how + k, " ".join([*around[:30], *body, *around[30:]])) for how, body in enumerate((changed, fewer, more))]
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in find_leaks(documents(spark, docs), bench).collect()}
+    code = defaultdict(lambda: len(code))
+    want = set()
+    for k, text in docs:
+        own = np.array([code[w] for w in words_of(text)], int)
+        for i, item in enumerate(items):
+            if align(np.array([code[w.encode()] for w in item], int), own)[0] >= 0.5 * 2 * len(item):
+                want.add((k, i))
+    assert got == want and len(want) >= 16
+
+
 def test_base_secrets_equal_brute_force(spark, texts):
     from hashlib import sha256
 
@@ -383,6 +413,61 @@ def test_secrets_in_any_alignment_line_or_container():
     assert find_secrets("a_long_identifier_of_a_program\nword\n" + base64.b64encode(noise).decode()) == ([], [])
 
 
+@pytest.mark.parametrize("width", [4, 7, 20, 60, 64])
+def test_secrets_wrapped_at_any_width(width):
+    import gzip
+    import textwrap
+
+    run = base64.b64encode(gzip.compress(b"one line of text\npassword = Zq8fK2mWx91LpT")).decode()
+    text = "A key follows.\n" + "\n".join(textwrap.wrap(run, width)) + "\nThat was all of it."
+    more = find_secrets(text)[1]
+    assert [(text[a:b].replace("\n", ""), kind) for a, kind, b in more] == [(run, "assign")]
+
+
+def test_secrets_at_every_place_around_the_end_of_a_window(monkeypatch):
+    """Wrapped base64 and plain secrets inside a stream that is scanned in small windows."""
+    import gzip
+    import textwrap
+
+    monkeypatch.setattr(secret_scan, "WINDOW", 2000)
+    secret = b"password = Zq8fK2mWx91LpT"
+    inner = "\n".join(textwrap.wrap(base64.b64encode(gzip.compress(bytes(range(256)) + b"\n" + secret)).decode(), 64)).encode()
+    for before in range(1300, 2300, 37):
+        for body in (inner, secret):
+            lines = (b"some plain words\n" * 200)[: before - 1] + b"\n"
+            run = base64.b64encode(gzip.compress(lines + body + b"\nthe end.\n" + b"more words\n" * 300)).decode()
+            assert find_secrets(f"{run} x")[1] == [(0, "assign", len(run))], before
+
+
+def test_long_lines_are_scanned_in_parts_that_overlap(monkeypatch):
+    import gzip
+
+    for name, size in (("WINDOW", 1000), ("HELD", 4000), ("OVERLAP", 200)):
+        monkeypatch.setattr(secret_scan, name, size)
+    for before in range(3900, 4100, 9):
+        run = base64.b64encode(gzip.compress(b"~" * before + b"password = Zq8fK2mWx91LpT" + b"~" * 9000)).decode()
+        assert find_secrets(run)[1] == [(0, "assign", len(run))], before
+
+
+def test_long_runs_and_bombs_end_soon(spark):
+    import gzip
+    import time
+
+    began = time.monotonic()
+    run = base64.b64encode(np.random.default_rng(2).bytes(700_000)).decode()
+    assert find_secrets(run) == ([], [])
+    assert find_secrets("abcdefgh\n" * 100_000 + "end") == ([], [])
+    assert find_secrets("%" + "25" * 100_000 + "41")[1] == find_secrets("\\" + "u005c" * 100_000)[1] == []
+    assert find_secrets("password%" + "25" * 5000 + "3DKx81mmQpZ04abcd")[1]
+    zeros = gzip.compress(bytes(80 << 20))
+    bomb = base64.b64encode(gzip.compress(zeros)).decode()
+    docs = documents(spark, [(1, f"a {bomb} b"), (2, "plain")])
+    got = {r["doc_id"]: (r["spans"], r["n_unopened"]) for r in secret_report(docs).collect()}
+    assert got == {1: ("", 1), 2: ("", 0)}
+    assert [r["text"] for r in mask_secrets(docs).orderBy("doc_id").collect()] == ["a [unopened] b", "plain"]
+    assert time.monotonic() - began < 60
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = documents(spark, [*ODD, (30, "token: abcdefghijkl99 end")])
     got = mask_secrets(docs)
@@ -468,6 +553,24 @@ def test_main_text():
     assert main_text(None) == main_text("") == ""
 
 
+def test_main_text_keeps_all_of_several_articles():
+    page = (
+        "<body><ul><li><a href=x>Home</a></ul><article><p>One, two, three and a longer text here.</p><ul><li><a href=y>see also this</a></ul></article>"
+        "<article><p title=it's data-x='a>b'>Second, part, of the text here too.</p><div class='meta-analysis'>The studies, all of them.</div>"
+        "<div class='post-meta'>by someone</div></article><article class=ad><p>Buy this, now, at once, all of it.</p></article></body>"
+    )
+    want = ["One, two, three and a longer text here.", "see also this", "Second, part, of the text here too.", "The studies, all of them."]
+    assert main_text(page).split("\n") == want
+
+
+def test_deep_trees_with_stray_ends_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    main_text("<font>" * 20000 + "</b>" * 20000 + "<div>x</div>" * 5000)
+    assert time.monotonic() - began < 10
+
+
 def test_pages_of_odd_rows(spark):
     odd = [(1, None, None, None, 1), (None, "x", "<p", "h", 2), (1, None, None, None, 1), (3, "://", "<div>" * 3000 + "deep", "h", 3)]
     pages = spark.createDataFrame(odd, PAGES)
