@@ -166,7 +166,7 @@ ORACLE: dict[str, str] = {
         with {SAVED},
         new as (
           select request_key, 'digest' as kind, case when n_rows >= 180 then digest end as value
-          from {_digests("(select * from orders where o_orderdate >= timestamp '1997-01-01 00:00:00')")})
+          from {_digests('orders')} where request_key in (select request_key from ({CHANGED})))
         select request_key, kind, value from new
         union all
         select request_key, kind, value from old where kind = 'digest' and request_key not in (select request_key from new)""",

@@ -267,9 +267,13 @@ def conditional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _digest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run over the scopes from 1996 on that broke off in 2000: later scopes have no end page."""
+    """A run whose requests for scopes before 1996 failed, and which broke off in 2000: later scopes have no end page."""
     log = _order_log(spark, sf_dir).drop("version_digest", "values")
-    received = log.where("request_key >= '1996-01-01' and (n_values > 0 or request_key < '2000-01-01')")
+    answered = F.col("request_key") >= "1996-01-01"
+    received = log.where("n_values > 0 or request_key < '2000-01-01'")
+    received = received.withColumn("n_values", F.when(answered, F.col("n_values"))).withColumn(
+        "status", F.when(answered, F.col("status")).otherwise(F.lit(500))
+    )
     digests = _order_digests(_orders(spark, sf_dir)).select("request_key", F.col("digest").alias("version_digest"))
     return received.join(sized(landed(spark, digests, "digests")), "request_key")
 
@@ -292,7 +296,8 @@ def page_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digests = _order_digests(_orders(spark, sf_dir).where(F.col("o_orderdate") >= F.lit(dt.date(1997, 1, 1))))
+    """After a run over all scopes: changed ones give a new watermark, those answered "not modified" keep theirs."""
+    digests = _order_digests(_orders(spark, sf_dir)).join(changed_scopes(spark, sf_dir).select("request_key"), "request_key")
     known = F.when(F.col("n_rows") >= 180, F.col("digest"))  # the source gives small scopes no digest
     new = digests.select("request_key", F.lit("digest").alias("kind"), known.alias("value"))
     return state.committed_state(_saved_state(spark, sf_dir), new)
