@@ -300,6 +300,18 @@ def test_leaks_edited_copies_and_odd_rows(spark):
     assert find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_items_with_a_common_template_and_a_hot_passage(spark):
+    """Seeds join: what all items share is no seed, a passage in a third of all rows is found in each of them."""
+    template = "please answer the following question about the given text"
+    items = [f"{template} " + " ".join(f"i{k}w{j}" for j in range(20)) for k in range(300)]
+    docs = [(k, " ".join([*(f"d{k}x{j}" for j in range(20)), items[7 if k % 3 == 0 else 8 + k % 40], "end"])) for k in range(240) if k % 3 < 2]
+    docs += [(1000 + k, f"d{k} {template} y{k} z{k}") for k in range(200)] + [(0, docs[0][1]), (None, docs[0][1]), (5000, None), (5001, "")]
+    bench = spark.createDataFrame([*enumerate(items), (999, "two words")], "item_id long, text string")
+    got = [tuple(r)[:2] for r in find_leaks(documents(spark, docs), bench).collect()]
+    want = [(k, 7 if k % 3 == 0 else 8 + k % 40) for k in range(240) if k % 3 < 2] + [(0, 7), (None, 7)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def brute_base(text):
     out = []
     for rank, (kind, pattern, ok) in enumerate((
