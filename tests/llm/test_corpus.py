@@ -639,3 +639,41 @@ def test_queries_have_their_columns(spark):
     want = {"op7_decontamination": ["doc_id", "item_id"], "op9_jaccard_join": ["doc_id", "n_shingles", "component_id"]}
     for name, columns in want.items():
         assert __spark_entry__.queries()[name](spark, SF).columns[: len(columns)] == columns
+
+
+def test_sets_below_the_limit_are_not_paired_across_groups(spark, monkeypatch):
+    """Copies of one text that all miss the limit: the lists are long, and sketches keep their pairs from being made."""
+    from feedlake.llm import jaccard_join
+
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(150)]
+    pairs = []
+    for k in range(120):
+        text = list(base)
+        for at in rng.choice(150, 5, replace=False):
+            text[at] = f"e{rng.integers(10**6)}"
+        pairs.append((k + 1, " ".join(text)))
+        pairs.append((k + 1001, " ".join([*text, "x"])))
+    made = {}
+
+    def noted(session, df, label, landed=jaccard_join.landed):
+        out = landed(session, df, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "landed", noted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_groups(documents(spark, pairs)).collect()}
+    assert got == brute_groups(pairs)
+    assert len(set(got.values())) > 10
+    assert made["join-pairs"][-1] <= len(pairs)
+
+
+def test_sketches_never_differ_in_more_bits_than_sets():
+    from feedlake.llm.jaccard_join import _sketch
+
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 500, 5000):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[: int(rng.integers(0, n + 1))], rng.integers(0, 2**63, n // 5).astype(np.uint64)]))
+        bits = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(_sketch(x), _sketch(y)))
+        assert bits <= len(np.setxor1d(x, y))
