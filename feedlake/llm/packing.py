@@ -22,6 +22,8 @@ WINDOW, OPEN, FAN_IN = 1024, 32, 8
 #: A document is cut to fill a window's gap only if both pieces have so many ids.
 LEAST_PIECE = 16
 END_ID = 0
+#: Ids that a task holds for its output before it sends them.
+SENT_IDS = 500_000
 
 PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _NAMES = ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
@@ -34,6 +36,7 @@ class Packer:
         self.next_id, self.window, self.most_open = first_id, window, most_open
         self.open: list[tuple[int, list]] = []  # (ids in the window, its pieces)
         self.out: list[tuple] = []
+        self.held = 0  # ids in ``out``
 
     def add(self, doc_id, start: int, doc_tokens: int, ids: np.ndarray) -> None:
         at = 0
@@ -70,6 +73,41 @@ class Packer:
             self.out.append((doc_id, start, len(ids), doc_tokens, *place, ids.astype("<u4", copy=False).tobytes()))
             offset += len(ids)
         self.next_id += sequence
+        self.held += offset
+
+    def sent(self) -> pa.RecordBatch:
+        """What is in ``out``, as one batch of PIECE columns and ``open``; ``out`` is empty then."""
+        columns = list(zip(*self.out))
+        arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 6 + [pa.binary()])]
+        is_open = pa.array([int(x is None) for x in columns[4]], pa.int32())
+        self.out, self.held = [], 0
+        return pa.RecordBatch.from_arrays([*arrays, is_open], names=[*_NAMES, "open"])
+
+
+def packed_batches(batches, packer: Packer, encoder, last: bool):
+    """The pieces of ``batches``, sent whenever SENT_IDS are held, however many rows a batch has: of whole documents (doc_id,
+    text) with an ``encoder``, of leftovers (doc_id, start, doc_tokens, ids) without. ``last``: what stays open is placed too.
+    """
+    end = np.array([END_ID], "<u4").tobytes()
+
+    def pieces(batch):
+        if encoder:
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                ids = np.frombuffer(encoder.ids(text.as_py()) + end, "<u4")
+                yield doc_id.as_py(), 0, len(ids), ids
+        else:
+            for doc_id, start, doc_tokens, ids in zip(*batch.columns):
+                yield doc_id.as_py(), start.as_py(), doc_tokens.as_py(), np.frombuffer(ids.as_py(), "<u4")
+
+    for batch in batches:
+        for piece in pieces(batch):
+            packer.add(*piece)
+            if packer.held >= SENT_IDS:
+                yield packer.sent()
+    for _, left in packer.open:
+        packer.emit(left, sequence=last)
+    if packer.out:
+        yield packer.sent()
 
 
 def _packed(rows: DataFrame, level: int, last: bool, encode: bool, make_encoder, folder: str) -> DataFrame:
@@ -77,30 +115,7 @@ def _packed(rows: DataFrame, level: int, last: bool, encode: bool, make_encoder,
 
     def run(batches):
         packer = Packer((level << 56) + (TaskContext.get().partitionId() << 32))
-        encoder = make_encoder()
-        end = np.array([END_ID], "<u4").tobytes()
-
-        def sent(pending):
-            columns = list(zip(*pending))
-            arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 6 + [pa.binary()])]
-            is_open = pa.array([int(x is None) for x in columns[4]], pa.int32())
-            return pa.RecordBatch.from_arrays([*arrays, is_open], names=[*_NAMES, "open"])
-
-        for batch in batches:
-            if encode:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = np.frombuffer(encoder.ids(text.as_py()) + end, "<u4")
-                    packer.add(doc_id, 0, len(ids), ids)
-            else:
-                for doc_id, start, doc_tokens, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                    packer.add(doc_id, start, doc_tokens, np.frombuffer(ids, "<u4"))
-            if packer.out:
-                yield sent(packer.out)
-                packer.out = []
-        for _, pieces in packer.open:
-            packer.emit(pieces, sequence=last)
-        if packer.out:
-            yield sent(packer.out)
+        yield from packed_batches(batches, packer, make_encoder() if encode else None, last)
 
     rows.mapInArrow(run, PIECE + ", open int").write.partitionBy("open").option("compression", "zstd").parquet(folder)
     return rows.sparkSession.read.schema(PIECE + ", open int").parquet(folder)

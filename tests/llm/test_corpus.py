@@ -677,3 +677,20 @@ def test_sketches_never_differ_in_more_bits_than_sets():
         y = np.unique(np.concatenate([x[: int(rng.integers(0, n + 1))], rng.integers(0, 2**63, n // 5).astype(np.uint64)]))
         bits = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(_sketch(x), _sketch(y)))
         assert bits <= len(np.setxor1d(x, y))
+
+
+def test_packing_sends_what_it_holds_before_a_batch_ends():
+    """A batch of many long documents goes out in several parts, in the same order as at once."""
+    import pyarrow as pa
+
+    from feedlake.llm import packing
+
+    class Fixed:
+        def ids(self, text):
+            return np.arange(3000, dtype="<u4").tobytes()
+
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(["x"] * 1000)], names=["doc_id", "text"])
+    sent = list(packing.packed_batches([rows], Packer(0), Fixed(), True))
+    sizes = [sum(b.column(2).to_pylist()) for b in sent]
+    assert sum(sizes) == 1000 * 3001
+    assert len(sizes) > 1 and max(sizes) < packing.SENT_IDS + 4 * 1024
