@@ -76,7 +76,8 @@ def scan_pages(
     came.
 
     ``fields`` maps column names to field paths inside a record; only those leaves are read from the
-    files, which exploding whole records and dropping columns later would not achieve. Without it
+    files, which exploding whole records and dropping columns later would not achieve. Where they are all that a record has,
+    whole records are exploded, which is cheaper than zipping their leaves. Without ``fields``
     the rows have ``request_key`` and all fields. ``starts`` (``request_key, start_offset``) makes it
     a resumed scan: only pages from that offset onward, whole scopes where it names none.
     """
@@ -91,8 +92,17 @@ def scan_pages(
         )
     if fields is None:
         return pages.select("request_key", F.explode("values").alias("_record")).select("request_key", "_record.*")
-    leaves = [F.col(".".join(f"`{part}`" for part in ("values", *path))).alias(name) for name, path in fields.items()]
-    return pages.select(F.inline(F.arrays_zip(*leaves)))
+    at = lambda root, path: F.col(".".join(f"`{part}`" for part in (root, *path)))
+    if {tuple(path) for path in fields.values()} >= _leaves(log.schema["values"].dataType.elementType):
+        return pages.select(F.explode("values").alias("_record")).select(*[at("_record", path).alias(name) for name, path in fields.items()])
+    return pages.select(F.inline(F.arrays_zip(*[at("values", path).alias(name) for name, path in fields.items()])))
+
+
+def _leaves(record: T.StructType, path: tuple[str, ...] = ()) -> set[tuple[str, ...]]:
+    """The paths of all fields that are not objects."""
+    return {
+        leaf for f in record for leaf in (_leaves(f.dataType, (*path, f.name)) if isinstance(f.dataType, T.StructType) else {(*path, f.name)})
+    }
 
 
 def require_whole(log: DataFrame, facts: DataFrame, starts: DataFrame | None = None) -> None:
@@ -208,7 +218,7 @@ def numbered(df: DataFrame, scope: Sequence[str], order: Sequence[Column]) -> tu
     every column are dealt out by row number. What a task holds of a scope lies in one stretch, so places follow from
     row numbers and from the counts of earlier tasks, of which a scope has one per task.
     """
-    sort = [*map(F.col, scope), *order, *_orderable(df)]
+    sort = [*map(F.col, scope), *order, *_orderable(df.drop(*scope))]
     rows = df.withColumn("_row", F.monotonically_increasing_id())
     rows = rows.repartitionByRange(*sort, "_row").sortWithinPartitions(*sort, "_row").drop("_row")
     rows = rows.withColumn("_task", F.spark_partition_id()).withColumn("_seq", F.monotonically_increasing_id())

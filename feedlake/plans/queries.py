@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..catalog import CATALOG, EntitySpec
 from ..functions import dates
@@ -416,11 +417,17 @@ def union_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _entity_rows(spark: SparkSession, rows: DataFrame, spec: EntitySpec, given: dict[str, Column]) -> DataFrame:
-    """Land ``rows`` as the page log of an entity, fields that are not given null, and scan it."""
+    """Land ``rows`` as the page log of an entity and scan it. Pages hold the given fields, as those of a source that sends no
+    nulls; the log is read with the entity's whole record, in which the others are null.
+    """
     schema = spec.record_schema()
-    fields = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    records = rows.select(given["request_key"].alias("request_key"), *fields)
-    return scan_entity(landed(spark, paging.cut_pages(records, "request_key", "id", PAGE), "pages"), spec)
+    records = rows.select(
+        given["request_key"].alias("request_key"), *[given[f.name].cast(f.dataType).alias(f.name) for f in schema.fields if f.name in given]
+    )
+    log, folder = paging.cut_pages(records, "request_key", "id", PAGE), scratch_dir(spark, "pages")
+    log.write.parquet(folder)
+    whole = T.StructType([T.StructField(f.name, T.ArrayType(schema)) if f.name == "values" else f for f in log.schema])
+    return scan_entity(spark.read.schema(whole).parquet(folder), spec)
 
 
 def _object(column: str) -> Column:

@@ -178,3 +178,18 @@ def test_stable_sort(spark):
     assert paging.stable_sort(df, None) is df and paging.stable_sort(df, "") is df
     with pytest.raises(ReadError, match="nope"):
         paging.stable_sort(df, "nope")
+
+
+def test_whole_records_are_exploded_without_zipping_their_leaves(spark, capsys):
+    schema = "request_key string, attempt int, offset long, status int, version_digest string, n_values int, values array<struct<id:long,account:struct<id:long>,tags:array<string>>>"
+    values = [(1, (5,), ["a", "b"]), (2, None, None), None, (3, (None,), [])]
+    log = spark.createDataFrame([("k", 1, 0, 200, None, 4, values), ("k", 1, 4, 200, None, 0, [])], schema)
+    leaves = {"id": ("id",), "account_id": ("account", "id"), "tags": ("tags",)}
+    whole = paging.scan_pages(log, leaves)
+    whole.explain()
+    assert "arrays_zip" not in capsys.readouterr().out
+    assert rows(whole) == sorted([(1, 5, ["a", "b"]), (2, None, None), (None, None, None), (3, None, [])], key=repr)
+    some = paging.scan_pages(log, {"account_id": ("account", "id")})
+    some.explain()
+    assert "arrays_zip" in capsys.readouterr().out  # other leaves are not read
+    assert rows(some) == rows(whole, "account_id")
