@@ -13,23 +13,30 @@ from ..operators.paging import PAGE_SIZE
 from .requests import PageRequest, PageResponse, ScopeRequest
 
 
+#: Bytes of a row group of landed pages, about what a request reads.
+GROUP_BYTES = 1 << 20
+
+
 def land_pages(log: DataFrame, root: str) -> None:
     """Write a page log below ``root``: one folder per scope, pages in offset order, values as JSON text.
 
     Range partitioning on (scope, offset) cuts a large scope into several files of consecutive pages
-    and keeps a small one in a single file.
+    and keeps a small one in a single file. A file has many small row groups, whose statistics of ``offset`` and ``after``
+    lead a request to the group of its page, however long the scope is.
     """
+    after = (F.col("offset") + F.coalesce("n_values", F.lit(0))).alias("after")
     body = log.select(
-        F.col("request_key").alias("scope"), "offset", "status", "version_digest", "n_values", F.to_json("values").alias("body")
+        F.col("request_key").alias("scope"), "offset", after, "status", "version_digest", "n_values", F.to_json("values").alias("body")
     )
-    body.repartitionByRange("scope", "offset").sortWithinPartitions("scope", "offset").write.partitionBy("scope").parquet(root)
+    pages = body.repartitionByRange("scope", "offset").sortWithinPartitions("scope", "offset")
+    pages.write.option("parquet.block.size", GROUP_BYTES).partitionBy("scope").parquet(root)
 
 
 class ReplayFetch:
     """A fetch function that answers from the pages below ``root``; a request's path names the scope.
 
     Requests in offset order are served from one running scan of the scope's folder, a few pages in
-    memory at a time.
+    memory at a time. Requests for single rows read one row group; the folder and its statistics are looked up once.
     """
 
     def __init__(self, root: str) -> None:
@@ -37,6 +44,7 @@ class ReplayFetch:
         self._scope: str | None = None
         self._next = -1
         self._pages: Iterator[dict[str, Any]] = iter(())
+        self._folders: dict[str, Any] = {}
 
     def __call__(self, request: PageRequest) -> PageResponse:
         offset, count = request.params["from"], request.params.get("count", PAGE_SIZE)
@@ -53,8 +61,8 @@ class ReplayFetch:
     def _row(self, scope: str, offset: int) -> PageResponse:
         import pyarrow.dataset as ds
 
-        first, n = ds.field("offset"), ds.field("n_values")
-        held = ds.dataset(f"{self._root}/scope={scope}", format="parquet").to_table(filter=(first <= offset) & ((first + n > offset) | (n == 0)))
+        first, after, n = (ds.field(name) for name in ("offset", "after", "n_values"))
+        held = self._folder(scope).to_table(filter=(first <= offset) & ((after > offset) | (n == 0)), use_threads=False)
         pages = sorted(held.to_pylist(), key=lambda page: page["offset"])
         page = pages[0] if pages else {"status": 200, "n_values": 0, "version_digest": None}
         values = json.loads(page["body"])[offset - page["offset"] :][:1] if page["n_values"] else []
@@ -63,11 +71,21 @@ class ReplayFetch:
     def _open(self, scope: str, offset: int) -> Iterator[dict[str, Any]]:
         import pyarrow.dataset as ds
 
-        folder = ds.dataset(f"{self._root}/scope={scope}", format="parquet")
         later = ds.field("offset") >= offset
-        for batch in folder.to_batches(filter=later, batch_size=16, batch_readahead=1, fragment_readahead=1):
+        for batch in self._folder(scope).to_batches(filter=later, batch_size=16, batch_readahead=1, fragment_readahead=1):
             yield from batch.to_pylist()
 
+    def _folder(self, scope: str) -> Any:
+        import pyarrow.dataset as ds
+
+        if scope not in self._folders:
+            found = ds.dataset(f"{self._root}/scope={scope}", format="parquet")
+            parts = list(found.get_fragments())
+            for part in parts:
+                part.ensure_complete_metadata()
+            self._folders[scope] = ds.FileSystemDataset(parts, found.schema, found.format, found.filesystem)
+        return self._folders[scope]
+
     def __getstate__(self) -> str:
         return self._root
 

@@ -45,6 +45,7 @@ class PageStreamReader(DataSourceStreamReader):
         self._fetch = fetch
         self._scopes = {scope.request_key: scope for scope in scopes}
         self._task_rows = task_rows
+        self._found: dict[str, tuple[int, str | None]] = {}  # the ends that were found last
 
     def initialOffset(self) -> dict:
         return {}
@@ -90,14 +91,18 @@ class PageStreamReader(DataSourceStreamReader):
         status, digest, found = self._ask(scope, 0, scope.stored_digest)
         if status == NOT_MODIFIED:
             return None
-        low, high = 0, scope.count  # a row stands at ``low``; none at ``high`` once the first loop ends
         if not found:
             return 0, digest
+        low, high = 0, scope.count  # a row stands at ``low``; none at ``high`` once the first loop ends
+        rows, known = self._found.get(scope.request_key, (0, None))
+        if rows and digest is not None and digest == known and self._ask(scope, rows - 1, None)[2]:
+            low, high = rows - 1, rows  # an unchanged scope is looked at where it ended last
         while self._ask(scope, high, None)[2]:
             low, high = high, 2 * high
         while high - low > 1:
             middle = (low + high) // 2
             low, high = (middle, high) if self._ask(scope, middle, None)[2] else (low, middle)
+        self._found[scope.request_key] = high, digest
         return high, digest
 
 

@@ -12,7 +12,9 @@ from feedlake.session import scratch_dir
 from feedlake.sources.page_log import read_page_log
 from feedlake.sources.page_source import decode_pages, read_pages
 from feedlake.sources.replay import ReplayFetch, land_pages, replay_scopes
+from feedlake.sources.requests import PageRequest, PageResponse, ScopeRequest
 from feedlake.streaming.changed_since import stream_changes
+from feedlake.streaming.pages import PageStreamReader
 
 from .conftest import rows
 
@@ -73,6 +75,44 @@ def test_replay_gives_back_the_landed_rows(spark, tmp_path):
     assert rows(got.select("request_key", "id", "v")) == rows(df)
 
 
+def test_a_single_row_is_found_in_one_row_group_of_a_long_scope(spark, tmp_path):
+    import pyarrow.dataset as ds
+
+    df = spark.range(60_000).select(F.lit("a").alias("s"), "id", F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    root = str(tmp_path / "pages")
+    land_pages(paging.cut_pages(df, "s", "id", 10), root)
+    fetch = ReplayFetch(root)
+    for at in (0, 29_999, 59_999, 60_000, 70_000):
+        values = fetch(PageRequest("a", {"from": at, "count": 1}, {})).body["values"]
+        assert [v["id"] for v in values] == [at] * (at < 60_000)
+    first, after, n = (ds.field(name) for name in ("offset", "after", "n_values"))
+    held = fetch._folder("a")
+    groups = lambda where: sum(len(f.split_by_row_group(where)) for f in held.get_fragments())
+    assert groups(None) > 4
+    assert groups((first <= 29_999) & ((after > 29_999) | (n == 0))) <= 2  # its own, and the one that holds the end
+
+
+def test_an_unchanged_scope_is_asked_where_it_ended_last():
+    rows, asked = {"a": 700, "b": 90, "c": 0}, []
+
+    def fetch(request):
+        at, count = request.params["from"], request.params["count"]
+        asked.append(request.path)
+        return PageResponse(body={"values": [{}] * max(0, min(count, rows[request.path] - at)), "versionDigest": digests[request.path]})
+
+    digests = {"a": "1", "b": "1", "c": "1"}
+    reader = PageStreamReader(fetch, [ScopeRequest(k, k, {}, 50) for k in rows], 100)
+    assert reader.latestOffset() == {"a": [700, "1"], "b": [90, "1"], "c": [0, "1"]}
+    asked.clear()
+    assert reader.latestOffset() == {"a": [700, "1"], "b": [90, "1"], "c": [0, "1"]}
+    assert len(asked) == 3 + 3 + 1
+    rows.update(a=1003, b=91, c=4)
+    assert reader.latestOffset() == {"a": [1003, "1"], "b": [91, "1"], "c": [4, "1"]}
+    rows.update(a=20, b=60)
+    digests.update(a="2")
+    assert reader.latestOffset() == {"a": [20, "2"], "b": [60, "1"], "c": [4, "1"]}
+
+
 def test_a_cluster_session_must_name_its_scratch_folder():
     local = SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "local[2]"}.get))
     cluster = SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "yarn"}.get))
