@@ -142,6 +142,24 @@ def test_join_of_odd_rows(spark):
     assert 7 not in {r["doc_id"] for r in kept.collect()}
 
 
+@pytest.mark.parametrize("bits", [26, 3])
+def test_texts_are_not_shuffled_to_keep_one_of_each_group(spark, monkeypatch, bits):
+    monkeypatch.setattr("feedlake.llm.jaccard_join.DROPPED_BITS", bits)  # with 3, most kept ids share their bit with a dropped one
+    rows = [(k, " ".join(f"t{k // 3 if k < 45 else k}w{j}" for j in range(20))) for k in range(-60, 60)] + [(None, "no id at all here"), (99, None), (98, "")]
+    groups = brute_groups([row for row in rows if row[0] is not None])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_one_each(documents(spark, rows))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "text" in plan
+        got = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r["doc_id"] for r in got), key=repr) == sorted([k for k, g in groups.items() if k == g] + [None], key=repr)
+    assert {(r["doc_id"], r["text"]) for r in got} <= set(rows)
+
+
 def test_groups_follow_long_chains(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     assert {r["id"]: r["group"] for r in groups(links).collect()} == {k: 0 for k in range(61)} | {100: 100, 101: 100}
