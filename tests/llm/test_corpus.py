@@ -686,6 +686,36 @@ def test_sets_below_the_limit_are_not_paired_across_groups(spark, monkeypatch):
     assert made["join-pairs"][-1] <= len(pairs)
 
 
+def test_small_tables_of_the_join_are_landed_by_few_tasks(spark, monkeypatch):
+    """Where Spark joins no small partitions, a table of a few rows is not written as a file for each partition."""
+    from feedlake.llm import jaccard_join
+
+    rng, pairs, files = np.random.default_rng(12), [], {}
+    for k in range(60):
+        text = [f"g{k % 20}w{j}" for j in range(40)]
+        text[int(rng.integers(40))] = f"e{k}"
+        pairs.append((k + 1, " ".join(text)))
+
+    def noted(session, df, label, landed=jaccard_join.landed):
+        out = landed(session, df, label)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "landed", noted)
+    held = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in jaccard_groups(documents(spark, pairs)).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == brute_groups(pairs)
+    assert {"join-classes", "join-lists", "join-known", "join-groups"} <= set(files)
+    assert max(files.values()) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_sketches_never_differ_in_more_bits_than_sets():
     from feedlake.llm.jaccard_join import _sketch
 
