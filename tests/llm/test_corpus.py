@@ -716,6 +716,29 @@ def test_small_tables_of_the_join_are_landed_by_few_tasks(spark, monkeypatch):
     assert max(files.values()) <= 2 * spark.sparkContext.defaultParallelism
 
 
+def test_large_batches_reach_a_step_in_parts(spark):
+    from feedlake.llm.common import BATCH_BYTES, map_lists
+
+    def make():
+        return lambda rows: {"doc_id": rows["doc_id"], "n": [sum(map(len, rows["text"]))] * len(rows["doc_id"])}
+
+    docs = spark.range(300, numPartitions=1).selectExpr("id as doc_id", "repeat('x', if(id = 150, 6000000, 60000)) as text")
+    got = map_lists(docs, make, "doc_id long, n long").collect()
+    assert [r["doc_id"] for r in got] == list(range(300))
+    assert max(r["n"] for r in got[:100]) <= BATCH_BYTES < 300 * 60_000
+
+
+def test_encoders_are_dropped_by_tasks_that_do_not_encode():
+    from feedlake.llm import tokens
+
+    first = tokens.byte_encoder()
+    assert tokens.byte_encoder() is first
+    ids = first.ids("some words to remember")
+    tokens.forget()
+    assert not tokens.byte_encoder.cache_info().currsize
+    assert tokens.byte_encoder().ids("some words to remember") == ids
+
+
 def test_sketches_never_differ_in_more_bits_than_sets():
     from feedlake.llm.jaccard_join import _sketch
 
