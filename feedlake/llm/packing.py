@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.tokens import byte_encoder
+from feedlake.llm.tokens import byte_encoder, ids_of_each
 from feedlake.session import scratch_dir, ship_package
 
 WINDOW, OPEN, FAN_IN = 1024, 32, 8
@@ -92,8 +92,8 @@ def packed_batches(batches, packer: Packer, encoder, last: bool):
 
     def pieces(batch):
         if encoder:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = np.frombuffer(encoder.ids(text.as_py()) + end, "<u4")
+            for doc_id, own in zip(batch.column(0), ids_of_each(encoder, (text.as_py() for text in batch.column(1)))):
+                ids = np.frombuffer(own + end, "<u4")
                 yield doc_id.as_py(), 0, len(ids), ids
         else:
             for doc_id, start, doc_tokens, ids in zip(*batch.columns):
